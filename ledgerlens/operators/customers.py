@@ -8,30 +8,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import invoice_ts, present, wrap_rank
-from ..schemas import RFM_DEFAULTS, RFM_METRICS
-from ..session import materialize
+from ..functions.columns import invoice_ts, wrap_rank
+from ..schemas import RFM_DEFAULTS
+from ..session import materialize, side_by_side
 from .positions import number_rows
 
 
+def _invoices(lines: DataFrame, *also_by: str) -> DataFrame:
+    """Lines folded to one row per invoice, with its revenue and time.
+
+    The keys are text and the sum is a number, so this is a hash aggregate with map-side combining
+    even where one customer holds much of the data. Dates are parsed afterwards, once per invoice.
+    """
+    amount = F.sum(F.col("Quantity") * F.col("UnitPrice")).alias("revenue")
+    folded = lines.groupBy("CustomerID", "InvoiceNo", *also_by, "InvoiceDate").agg(amount)
+    return folded.select("CustomerID", "InvoiceNo", *also_by, "revenue", invoice_ts().alias("ts"))
+
+
 def customer_rollup(lines: DataFrame) -> DataFrame:
     """Invoices, revenue, last purchase and first country of every retail customer.
 
-    Lines are first folded to one row per invoice and country. That step keeps only numbers and
-    times, so it runs as a hash aggregate with map-side combining; the text-valued choice of a
-    country, which needs a sort, then sees invoices instead of lines. The first country is that of
-    the earliest dated line, and the alphabetically first one if several share that time.
+    The first country is that of the earliest dated line, and the alphabetically first one if
+    several share that time. Choosing a text needs a sorting aggregate, which sees invoices only.
     """
-    ts = invoice_ts()
-    invoices = lines.groupBy("CustomerID", "InvoiceNo", "Country").agg(
-        F.sum("Revenue").alias("revenue"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")
-    )
-    first_seen = F.min(F.struct(F.col("first_ts").isNull(), "first_ts", "Country"))
-    return invoices.groupBy("CustomerID").agg(
-        F.count_distinct("InvoiceNo").alias("total_invoices"),
-        F.sum("revenue").alias("total_revenue"),
-        F.max("last_ts").alias("last_purchase_date"),
-        first_seen["Country"].alias("country"),
+    first_seen = F.min(F.struct(F.col("ts").isNull(), "ts", "Country"))
+    return (
+        _invoices(lines, "Country")
+        .groupBy("CustomerID")
+        .agg(
+            F.count_distinct("InvoiceNo").alias("total_invoices"),
+            F.sum("revenue").alias("total_revenue"),
+            F.max("ts").alias("last_purchase_date"),
+            first_seen["Country"].alias("country"),
+        )
     )
 
 
@@ -65,10 +74,14 @@ def rfm(lines: DataFrame, as_of: dt.datetime | Column | None = None) -> DataFram
     Without ``as_of`` the per-customer sums are stored once, so that finding the reference date does
     not scan the lines again; with it the result is one lazy plan.
     """
-    sums = lines.groupBy("CustomerID").agg(
-        F.count_distinct("InvoiceNo").alias("total_invoices"),
-        F.sum(F.col("Quantity") * F.col("UnitPrice")).alias("total_revenue"),
-        F.max(invoice_ts()).alias("last_purchase_date"),
+    sums = (
+        _invoices(lines)
+        .groupBy("CustomerID")
+        .agg(
+            F.count_distinct("InvoiceNo").alias("total_invoices"),
+            F.sum("revenue").alias("total_revenue"),
+            F.max("ts").alias("last_purchase_date"),
+        )
     )
     return rfm_from_rollup(materialize(sums, "rfm") if as_of is None else sums, as_of)
 
@@ -80,18 +93,22 @@ def rank_in_group(rows: DataFrame, group: str = "job", order_by: str = "age", ke
 
 
 def number_customers(customers: DataFrame) -> DataFrame:
-    """Number the distinct customers 1..N by ``CustomerID``."""
+    """Number the distinct customers 1..N by ``CustomerID``; other columns come along, stored."""
     return number_rows(customers, ["CustomerID"])
 
 
+def wrap_numbers(ranked: DataFrame, numbered: DataFrame) -> DataFrame:
+    """Wrap ranks onto the customer numbers 1..N; every number is null if there are no customers."""
+    size = numbered.agg(F.max("row_idx").alias("size")).scalar()
+    return ranked.withColumn("row_idx", wrap_rank(F.col("row_idx"), size))
+
+
 def synthetic_key(bank: DataFrame, numbered: DataFrame, key: Sequence[str] = ()) -> DataFrame:
     """Give each bank row a customer number: its rank within its job, wrapped onto 1..N.
 
-    There is no real key between the two feeds. Bank rows of different jobs share numbers, and with
-    no retail customers at all every number is null.
+    There is no real key between the two feeds. Bank rows of different jobs share numbers.
     """
-    size = numbered.agg(F.max("row_idx").alias("size")).scalar()
-    return rank_in_group(bank, key=key).withColumn("row_idx", wrap_rank(F.col("row_idx"), size))
+    return wrap_numbers(rank_in_group(bank, key=key), numbered)
 
 
 def attach_customer_ids(keyed: DataFrame, numbered: DataFrame) -> DataFrame:
@@ -104,16 +121,24 @@ def attach_rollup(bank: DataFrame, rollup: DataFrame) -> DataFrame:
     return bank.join(rollup, "CustomerID", "left")
 
 
-def customer_360(bank: DataFrame, rollup: DataFrame, key: Sequence[str] = ()) -> DataFrame:
-    """Bank rows with the retail customer linked to each.
+def link_customers(ranked: DataFrame, numbered: DataFrame) -> DataFrame:
+    """Bank rows with the retail customer linked to each, from rows and customers already numbered.
 
-    The rollup has one row per customer, so numbering the rollup itself lets one join bring in both
-    the customer id and the sums.
+    The numbered rollup has one row per customer, so a single join brings in both the customer id
+    and the sums.
     """
-    numbered = number_customers(rollup)
-    linked = synthetic_key(bank, numbered, key).join(numbered, "row_idx", "left")
-    sums = [c for c in rollup.columns if c != "CustomerID"]
-    return linked.select("CustomerID", *bank.columns, *sums)
+    linked = wrap_numbers(ranked, numbered).join(numbered, "row_idx", "left")
+    bank = [c for c in ranked.columns if c != "row_idx"]
+    sums = [c for c in numbered.columns if c not in ("row_idx", "CustomerID")]
+    return linked.select("CustomerID", *bank, *sums)
+
+
+def customer_360(bank: DataFrame, rollup: DataFrame, key: Sequence[str] = ()) -> DataFrame:
+    """Number bank rows and customers, which are independent, and link them."""
+    ranked, numbered = side_by_side(
+        lambda: rank_in_group(bank, key=key), lambda: number_customers(rollup)
+    )
+    return link_customers(ranked, numbered)
 
 
 def join_rfm(silver: DataFrame, features: DataFrame) -> DataFrame:
@@ -129,7 +154,3 @@ def rfm_from_silver(silver: DataFrame, as_of: dt.datetime | Column) -> DataFrame
         F.col("total_invoices").alias("Frequency"),
         F.col("total_revenue").alias("Monetary"),
     ).fillna(RFM_DEFAULTS)
-
-
-def rfm_columns(df: DataFrame) -> list[str]:
-    return present(df, RFM_METRICS)

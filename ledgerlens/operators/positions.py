@@ -29,8 +29,18 @@ def _earlier(groups: Sequence[str], order_by: Sequence[str]):
     return window.rowsBetween(Window.unboundedPreceding, -1)
 
 
+def _sized(offsets: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Let the planner know how large the offsets are.
+
+    Without groups there is at most one row per range partition, which is safe to broadcast. With
+    groups there can be as many rows as groups, so they are stored, and the planner broadcasts the
+    file or not by its size.
+    """
+    return materialize(offsets, "offsets") if groups else F.broadcast(offsets)
+
+
 def _add_offsets(placed: DataFrame, offsets: DataFrame, groups: Sequence[str], part: Column) -> DataFrame:
-    """Attach each row's partition offsets; the planner broadcasts them if the stored file is small."""
+    """Attach the offsets of each row's group and partition."""
     renamed = offsets.withColumnsRenamed({g: f"_offset_{g}" for g in groups} | {"_part": "_offset_part"})
     conditions = [F.col(g).eqNullSafe(F.col(f"_offset_{g}")) for g in groups]
     matches = reduce(and_, conditions, part == F.col("_offset_part"))
@@ -56,10 +66,9 @@ def number_rows(
     spans = placed.groupBy(*groups, part.alias("_part")).agg(
         F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
-    # One row per group and range partition; without groups, no more rows than partitions.
     before = F.coalesce(F.sum("_rows").over(_earlier(groups, ["_part"])), F.lit(0))
     offsets = spans.select(*groups, "_part", (before - F.col("_first") + 1).alias("_shift"))
-    joined = _add_offsets(placed, materialize(offsets, "offsets"), groups, part)
+    joined = _add_offsets(placed, _sized(offsets, groups), groups, part)
     return joined.select(*df.columns, (F.col("_seq") + F.col("_shift")).alias(out))
 
 
@@ -79,7 +88,7 @@ def running_totals(
     for w in weights:
         sums.append(F.coalesce(F.sum(w).over(_earlier(groups, ["_part"])), F.lit(0)).alias(f"_{w}_offset"))
         sums.append(F.sum(w).over(whole).alias(f"{w}_total"))
-    offsets = materialize(spans.select(*groups, "_part", *sums), "offsets")
+    offsets = _sized(spans.select(*groups, "_part", *sums), groups)
     joined = _add_offsets(placed, offsets, groups, F.col("_part"))
     local = _earlier([*groups, "_part"], order_by)
     totals = []

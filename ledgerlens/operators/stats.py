@@ -84,36 +84,41 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     return materialize(picked.select("metric", *quantiles), "quantiles")
 
 
-def _quantile_of(quantiles: DataFrame, metric: str, p: float) -> Column:
-    return quantiles.filter(F.col("metric") == metric).select(_name(p)).scalar()
-
-
 def winsorize(
     df: DataFrame, columns: Sequence[str], p: float = 0.95, quantiles: DataFrame | None = None
 ) -> DataFrame:
     """Cap each column at its own ``p`` quantile over the whole frame; nulls stay null."""
     if quantiles is None:
         quantiles = exact_quantiles(df, columns, [p])
+    found = [F.max(F.when(F.col("metric") == c, F.col(_name(p)))).alias(c) for c in columns]
+    caps = quantiles.agg(F.struct(*found).alias("caps")).scalar()
     capped = {
-        c: F.when(F.col(c).isNotNull(), F.least(F.col(c).cast("double"), _quantile_of(quantiles, c, p)))
+        c: F.when(F.col(c).isNotNull(), F.least(F.col(c).cast("double"), caps.getField(c))).alias(c)
         for c in columns
     }
-    return df.select(*[capped[c].alias(c) if c in capped else F.col(c) for c in df.columns])
+    return df.select(*[capped.get(c, F.col(c)) for c in df.columns])
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 40) -> DataFrame:
     """Equal-width histogram of each column between its minimum and maximum.
 
     Bins are half open except for the last, which includes the maximum. A constant column gets a
-    range of width one around its value. Empty bins are listed with count 0.
+    range of width one around its value. Empty bins are listed with count 0. The frame is read twice,
+    for its range and for the counts, and only the counts per bin are shuffled.
     """
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    values = numbers.unpivot([], list(columns), "metric", "value").filter(F.col("value").isNotNull())
-    counted = values.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
-    counted = materialize(counted, "values")
-    ends = counted.groupBy("metric").agg(F.min("value").alias("least"), F.max("value").alias("most"))
+    ends = [
+        F.struct(
+            F.lit(c).alias("metric"), F.min(F.col(c).cast("double")).alias("least"), F.max(F.col(c).cast("double")).alias("most")
+        )
+        for c in columns
+    ]
+    ends = df.agg(F.array(*ends).alias("ends")).select(F.inline("ends")).dropna()
     pad = F.when(F.col("least") == F.col("most"), 0.5).otherwise(0.0)
     ranges = ends.select("metric", (F.col("least") - pad).alias("low"), (F.col("most") + pad).alias("high"))
+    # One row per column of the frame, read twice below and small enough to broadcast.
+    ranges = materialize(ranges, "ranges")
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    values = numbers.unpivot([], list(columns), "metric", "value").filter(F.col("value").isNotNull())
 
     def edge(i: Column) -> Column:
         return F.when(i == bins, F.col("high")).otherwise(F.col("low") + i * ((F.col("high") - F.col("low")) / bins))
@@ -126,12 +131,11 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 40) -> DataFram
         .when((F.col("value") >= edge(F.col("guess") + 1)) & (F.col("guess") < bins - 1), F.col("guess") + 1)
         .otherwise(F.col("guess"))
     )
-    # One row per column of the frame, so the ranges are small by construction.
     filled = (
-        counted.join(F.broadcast(ranges), "metric")
+        values.join(F.broadcast(ranges), "metric")
         .withColumn("guess", guess)
         .groupBy("metric", settled.alias("bin"))
-        .agg(F.sum("n").alias("count"))
+        .agg(F.count(F.lit(1)).alias("count"))
     )
     every_bin = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))))
     listed = every_bin.join(filled, ["metric", "bin"], "left")

@@ -9,9 +9,16 @@ from pyspark.sql import Column, DataFrame
 
 from ..functions.columns import balance_ratio, present, risk_score, yes_flag
 from ..operators.cleaning import cast_columns
-from ..operators.customers import customer_360, join_rfm, latest, rfm_from_silver
+from ..operators.customers import (
+    join_rfm,
+    latest,
+    link_customers,
+    number_customers,
+    rank_in_group,
+    rfm_from_silver,
+)
 from ..schemas import GOLD_DOUBLE
-from ..session import materialize
+from ..session import side_by_side
 
 
 def add_credit_features(df: DataFrame) -> DataFrame:
@@ -39,9 +46,8 @@ def gold_master(silver: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
 
 
 def gold_in_one_go(bank: DataFrame, rollup: DataFrame, key: Sequence[str] = ()) -> DataFrame:
-    """Bank rows and a customer rollup straight to gold, storing only the rollup on the way."""
-    rollup = materialize(rollup, "rollup")
-    silver = customer_360(bank, rollup, key)
-    return gold_master(silver, latest(rollup, "last_purchase_date"))
-
-
+    """Bank rows and a customer rollup straight to gold, without storing silver."""
+    ranked, numbered = side_by_side(
+        lambda: rank_in_group(bank, key=key), lambda: number_customers(rollup)
+    )
+    return gold_master(link_customers(ranked, numbered), latest(numbered, "last_purchase_date"))

@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame
 
 from ..operators import models
 from ..operators.cleaning import clean_bank, clean_retail, with_credit_default
-from ..operators.customers import customer_360, customer_rollup, latest, rfm_from_rollup
+from ..operators.customers import (
+    customer_rollup,
+    latest,
+    link_customers,
+    number_customers,
+    rank_in_group,
+    rfm_from_rollup,
+)
 from ..operators.features import (
     credit_features,
     credit_frame,
@@ -17,20 +24,27 @@ from ..operators.features import (
     train_test_split,
 )
 from ..operators.segments import segment_customers
+from ..session import side_by_side
 from ..sources.tables import Warehouse
 from .gold import gold_master
 
 
 def build_bronze(store: Warehouse, retail: DataFrame, bank: DataFrame) -> None:
-    store.save("bronze_retail", clean_retail(retail))
-    store.save("bronze_bank", clean_bank(bank))
+    side_by_side(
+        lambda: store.save("bronze_retail", clean_retail(retail)),
+        lambda: store.save("bronze_bank", clean_bank(bank)),
+    )
 
 
 def build_silver(store: Warehouse, key: Sequence[str] = ()) -> DataFrame:
-    """Customer 360. The retail rollup is stored as well: RFM and gold are read off it later."""
-    rollup = store.save("retail_rollup", customer_rollup(store.load("bronze_retail")))
+    """Customer 360. The numbered rollup is stored as well: RFM and gold are read off it later."""
     bank = with_credit_default(store.load("bronze_bank"))
-    return store.save("silver", customer_360(bank, rollup, key))
+    rollup = customer_rollup(store.load("bronze_retail"))
+    ranked, numbered = side_by_side(
+        lambda: rank_in_group(bank, key=key),
+        lambda: store.save("retail_rollup", number_customers(rollup)),
+    )
+    return store.save("silver", link_customers(ranked, numbered))
 
 
 def build_gold(store: Warehouse) -> DataFrame:
@@ -46,8 +60,7 @@ def build_segments(store: Warehouse, k: int = 4, seed: int = 42, max_iter: int =
 def build_layers(store: Warehouse, retail: DataFrame, bank: DataFrame, key: Sequence[str] = ()) -> None:
     build_bronze(store, retail, bank)
     build_silver(store, key)
-    build_gold(store)
-    build_segments(store)
+    side_by_side(lambda: build_gold(store), lambda: build_segments(store))
 
 
 def compare_models(

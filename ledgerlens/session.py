@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +52,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(*actions: Callable[[], Any]) -> list[Any]:
+    """Run independent steps at once, so that the tail of one leaves no executors idle."""
+    with ThreadPool(len(actions)) as pool:
+        return pool.map(lambda action: action(), actions, chunksize=1)

@@ -20,8 +20,24 @@ _FROM_ORDERS = {"InvoiceDate", "CustomerID", "Country"}
 _FROM_PART = {"Description", "UnitPrice"}
 
 
+# Column types of the tables, declared so that opening one needs no look at its files.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def retail_raw(spark: SparkSession, sf_dir: str, columns: Sequence[str] = RETAIL_COLUMNS) -> DataFrame:
@@ -29,7 +45,9 @@ def retail_raw(spark: SparkSession, sf_dir: str, columns: Sequence[str] = RETAIL
     need = set(columns)
     lines = table(spark, sf_dir, "lineitem")
     if need & _FROM_ORDERS:
-        orders = table(spark, sf_dir, "orders")
+        # The date is written out per order, not per line.
+        written = F.date_format("o_orderdate", "M/d/yyyy H:mm").alias("o_date_text")
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", written)
         lines = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     if "Country" in need:
         customer = table(spark, sf_dir, "customer")
@@ -45,7 +63,7 @@ def retail_raw(spark: SparkSession, sf_dir: str, columns: Sequence[str] = RETAIL
         "StockCode": lambda: F.col("l_partkey").cast("string"),
         "Description": lambda: F.col("p_name"),
         "Quantity": lambda: F.when(F.col("l_returnflag") == "R", -quantity).otherwise(quantity),
-        "InvoiceDate": lambda: F.date_format("o_orderdate", "M/d/yyyy H:mm"),
+        "InvoiceDate": lambda: F.col("o_date_text"),
         "UnitPrice": lambda: F.when(F.col("p_size") == 25, 0.0).otherwise(F.col("p_retailprice")),
         "CustomerID": lambda: F.when(F.col("l_linenumber") != 7, F.col("o_custkey")),
         "Country": lambda: F.col("n_name"),

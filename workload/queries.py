@@ -70,7 +70,8 @@ def rfm(spark: SparkSession, d: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, d: str, *only: str) -> DataFrame:
-    return customers.customer_360(bank(spark, d, *(["job", *only] if only else [])), rollup(spark, d), KEY)
+    sums = customers.customer_rollup(sales(spark, d, "InvoiceDate", "Country"))
+    return customers.customer_360(bank(spark, d, *(["job", *only] if only else [])), sums, KEY)
 
 
 def gold(spark: SparkSession, d: str) -> DataFrame:
@@ -157,7 +158,7 @@ def sink_replace_schema(spark, d):
     return tables.read_table(spark, path)
 
 
-@query("sink_csv", sql("SELECT * FROM rfm_out", "rfm").replace("rfm_out", "(SELECT CustomerID, Recency, Frequency, round(Monetary, 2) AS Monetary FROM rfm)"))
+@query("sink_csv", sql("SELECT * REPLACE (round(Monetary, 2) AS Monetary) FROM rfm", "rfm"))
 def sink_csv(spark, d):
     path = new_path(spark, "csv")
     csv.write_csv(rounded(rfm(spark, d), 2, "Monetary"), path)
@@ -608,22 +609,22 @@ def _per_metric(template: str) -> str:
     "quantiles",
     sql(
         _per_metric(
-            "SELECT '{name}' AS metric, round(quantile_cont({value}, 0.5), 2) AS p50, "
-            "round(quantile_cont({value}, 0.95), 2) AS p95, round(quantile_cont({value}, 0.97), 2) AS p97 FROM rfm"
+            "SELECT '{name}' AS metric, round(quantile_cont({value}, 0.5), 6) AS p50, "
+            "round(quantile_cont({value}, 0.95), 6) AS p95, round(quantile_cont({value}, 0.97), 6) AS p97 FROM rfm"
         ),
         "rfm",
     ),
 )
 def quantiles(spark, d):
     found = stats.exact_quantiles(rfm(spark, d), RFM_METRICS, [0.5, 0.95, 0.97])
-    return rounded(found, 2, "p50", "p95", "p97")
+    return rounded(found, 6, "p50", "p95", "p97")
 
 
 @query(
     "winsorize",
     sql(
         """
-SELECT CustomerID, round(Recency, 2) AS Recency, round(Frequency, 2) AS Frequency, round(Monetary, 2) AS Monetary
+SELECT CustomerID, round(Recency, 6) AS Recency, round(Frequency, 6) AS Frequency, round(Monetary, 6) AS Monetary
 FROM capped
 """,
         "capped",
@@ -631,7 +632,7 @@ FROM capped
 )
 def winsorize(spark, d):
     stored = materialize(rfm(spark, d), "rfm")
-    return rounded(stats.winsorize(stored, RFM_METRICS, 0.95), 2, *RFM_METRICS)
+    return rounded(stats.winsorize(stored, RFM_METRICS, 0.95), 6, *RFM_METRICS)
 
 
 @query(
@@ -651,7 +652,7 @@ def winsorize(spark, d):
          CASE WHEN i = 39 THEN hi ELSE lo + (i + 1) * ((hi - lo) / 40) END AS bin_high
   FROM ends CROSS JOIN range(40) AS r(i)
 )
-SELECT edges.metric, bin, round(bin_low, 2) AS bin_low, round(bin_high, 2) AS bin_high, count(v) AS "count"
+SELECT edges.metric, bin, round(bin_low, 7) AS bin_low, round(bin_high, 7) AS bin_high, count(v) AS "count"
 FROM edges LEFT JOIN long
   ON edges.metric = long.metric AND v >= bin_low AND (v < bin_high OR (bin = 39 AND v <= bin_high))
 GROUP BY ALL
@@ -661,7 +662,7 @@ GROUP BY ALL
 )
 def rfm_histogram(spark, d):
     stored = materialize(rfm(spark, d), "rfm")
-    return rounded(stats.rfm_histogram(stored), 2, "bin_low", "bin_high")
+    return rounded(stats.rfm_histogram(stored), 7, "bin_low", "bin_high")
 
 
 FIXED_SCORES = {"balance": "balance", "campaign": "campaign", "duration": "duration"}
@@ -838,8 +839,8 @@ def rounding(spark, d):
     "arith",
     sql(
         """
-SELECT InvoiceNo, Quantity + 1 AS plus, round(Quantity * UnitPrice, 2) AS times,
-       round(UnitPrice / Quantity, 6) AS ratio, Quantity % 7 AS remainder,
+SELECT InvoiceNo, Quantity + 1 AS plus, CASE WHEN UnitPrice = 0 THEN 0 ELSE round(Quantity * UnitPrice, 2) END AS times,
+       CASE WHEN UnitPrice = 0 THEN 0 ELSE round(UnitPrice / Quantity, 6) END AS ratio, Quantity % 7 AS remainder,
        Quantity > 0 AND UnitPrice > 0 AS sold, Quantity < 0 OR UnitPrice = 0 AS unsold, 1 AS one
 FROM retail
 """,
@@ -883,7 +884,12 @@ def stream_csv_source(spark, d):
 @query(
     "stream_enrich",
     sql(
-        "SELECT InvoiceNo, Quantity, UnitPrice, round(Quantity * UnitPrice, 2) AS Revenue, true AS stamped FROM retail",
+        """
+-- a returned free item is 0, not -0
+SELECT InvoiceNo, Quantity, UnitPrice,
+       CASE WHEN UnitPrice = 0 THEN 0 ELSE round(Quantity * UnitPrice, 2) END AS Revenue, true AS stamped
+FROM retail
+""",
         "retail",
     ),
 )
