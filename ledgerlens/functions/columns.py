@@ -55,6 +55,19 @@ def segment_band(recency: Column, monetary: Column) -> Column:
     )
 
 
+def mean(column: str) -> Column:
+    """Average to six decimals, summed exactly.
+
+    A sum of doubles depends on the order of the rows, and at a rounding tie so does the rounded
+    average that a report prints. Decimal sums do not.
+    """
+    return F.avg(F.col(column).try_cast("decimal(28,6)"))
+
+
+def rounded_mean(column: str, digits: int) -> Column:
+    return F.round(mean(column), digits).cast("double")
+
+
 def shorten(column: str, limit: int = 30) -> Column:
     """Text cut to ``limit`` characters with an ellipsis; shorter text is left alone."""
     text = F.col(column).cast("string")

@@ -8,7 +8,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import segment_band
+from ..functions.columns import mean, rounded_mean, segment_band
 from ..schemas import RFM_METRICS
 from .features import assembler, standard_scaler
 
@@ -49,9 +49,9 @@ def cluster_profile(segments: DataFrame, cluster: str = CLUSTER) -> DataFrame:
         segments.groupBy(cluster)
         .agg(
             F.count(F.lit(1)).alias("num_customers"),
-            F.round(F.avg("Recency"), 1).alias("avg_recency"),
-            F.round(F.avg("Frequency"), 1).alias("avg_frequency"),
-            F.round(F.avg("Monetary"), 0).alias("avg_monetary"),
+            rounded_mean("Recency", 1).alias("avg_recency"),
+            rounded_mean("Frequency", 1).alias("avg_frequency"),
+            rounded_mean("Monetary", 0).alias("avg_monetary"),
         )
         .orderBy(cluster)
     )
@@ -59,15 +59,14 @@ def cluster_profile(segments: DataFrame, cluster: str = CLUSTER) -> DataFrame:
 
 def band_profile(segments: DataFrame, cluster: str = CLUSTER) -> DataFrame:
     """Cluster means with the band their unrounded values fall into, biggest spenders first."""
-    recency, monetary = F.avg("Recency"), F.avg("Monetary")
     return (
         segments.groupBy(cluster)
         .agg(
             F.count(F.lit(1)).alias("customers"),
-            F.round(recency, 0).alias("avg_recency_days"),
-            F.round(F.avg("Frequency"), 1).alias("avg_orders"),
-            F.round(monetary, 0).alias("avg_spend_gbp"),
-            segment_band(recency, monetary).alias("segment_label"),
+            rounded_mean("Recency", 0).alias("avg_recency_days"),
+            rounded_mean("Frequency", 1).alias("avg_orders"),
+            rounded_mean("Monetary", 0).alias("avg_spend_gbp"),
+            segment_band(mean("Recency"), mean("Monetary")).alias("segment_label"),
         )
         .orderBy(F.desc("avg_spend_gbp"), cluster)
     )

@@ -7,23 +7,24 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import rounded_mean
 from ..schemas import RFM_METRICS
 from ..session import materialize
 from .positions import running_totals
 
 
 def rounded_means(df: DataFrame, digits: Mapping[str, int], prefix: str = "avg_") -> DataFrame:
-    return df.agg(*[F.round(F.avg(c), n).alias(f"{prefix}{c.lower()}") for c, n in digits.items()])
+    return df.agg(*[rounded_mean(c, n).alias(f"{prefix}{c.lower()}") for c, n in digits.items()])
 
 
 def overview(silver: DataFrame) -> DataFrame:
     """Size and mean profile of the customer table."""
     return silver.agg(
         F.count(F.lit(1)).alias("total_customers"),
-        F.round(F.avg("age"), 1).alias("avg_age"),
-        F.round(F.avg("balance"), 0).alias("avg_balance"),
-        F.round(F.avg("duration"), 0).alias("avg_call_duration"),
-        F.round(F.avg("campaign"), 1).alias("avg_campaign_contact"),
+        rounded_mean("age", 1).alias("avg_age"),
+        rounded_mean("balance", 0).alias("avg_balance"),
+        rounded_mean("duration", 0).alias("avg_call_duration"),
+        rounded_mean("campaign", 1).alias("avg_campaign_contact"),
     )
 
 

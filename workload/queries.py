@@ -535,8 +535,8 @@ def label_share(spark, d):
     "overview_stats",
     sql(
         """
-SELECT count(*) AS total_customers, round(avg(age), 1) AS avg_age, round(avg(balance), 0) AS avg_balance,
-       round(avg(duration), 0) AS avg_call_duration, round(avg(campaign), 1) AS avg_campaign_contact
+SELECT count(*) AS total_customers, round(avg(CAST(age AS DECIMAL(28, 6))), 1) AS avg_age, round(avg(CAST(balance AS DECIMAL(28, 6))), 0) AS avg_balance,
+       round(avg(CAST(duration AS DECIMAL(28, 6))), 0) AS avg_call_duration, round(avg(CAST(campaign AS DECIMAL(28, 6))), 1) AS avg_campaign_contact
 FROM silver
 """,
         "silver",
@@ -550,8 +550,8 @@ def overview_stats(spark, d):
     "rfm_means",
     sql(
         """
-SELECT round(avg(Recency), 1) AS avg_recency, round(avg(Frequency), 1) AS avg_frequency,
-       round(avg(Monetary), 0) AS avg_monetary
+SELECT round(avg(CAST(Recency AS DECIMAL(28, 6))), 1) AS avg_recency, round(avg(CAST(Frequency AS DECIMAL(28, 6))), 1) AS avg_frequency,
+       round(avg(CAST(Monetary AS DECIMAL(28, 6))), 0) AS avg_monetary
 FROM gold
 """,
         "gold",
@@ -755,8 +755,8 @@ CLUSTERS_SQL = ", clustered AS (SELECT *, CAST(CustomerID % 4 AS INTEGER) AS seg
     sql(
         CLUSTERS_SQL
         + """
-SELECT segment_cluster, count(*) AS num_customers, round(avg(Recency), 1) AS avg_recency,
-       round(avg(Frequency), 1) AS avg_frequency, round(avg(Monetary), 0) AS avg_monetary
+SELECT segment_cluster, count(*) AS num_customers, round(avg(CAST(Recency AS DECIMAL(28, 6))), 1) AS avg_recency,
+       round(avg(CAST(Frequency AS DECIMAL(28, 6))), 1) AS avg_frequency, round(avg(CAST(Monetary AS DECIMAL(28, 6))), 0) AS avg_monetary
 FROM clustered GROUP BY segment_cluster ORDER BY segment_cluster
 """,
         "rfm",
@@ -1132,8 +1132,8 @@ def model_comparison(spark, d):
     "report_top_jobs",
     sql(
         """
-SELECT job, count(*) AS total_customers, round(avg(balance), 0) AS avg_balance,
-       round(avg(Monetary), 0) AS avg_monetary
+SELECT job, count(*) AS total_customers, round(avg(CAST(balance AS DECIMAL(28, 6))), 0) AS avg_balance,
+       round(avg(CAST(Monetary AS DECIMAL(28, 6))), 0) AS avg_monetary
 FROM gold WHERE y = 'no' AND Recency <= 30
 GROUP BY job ORDER BY avg_balance DESC, job LIMIT 5
 """,
@@ -1164,11 +1164,11 @@ def report_credit_by_education(spark, d):
     sql(
         CLUSTERS_SQL
         + """
-SELECT segment_cluster, count(*) AS customers, round(avg(Recency), 0) AS avg_recency_days,
-       round(avg(Frequency), 1) AS avg_orders, round(avg(Monetary), 0) AS avg_spend_gbp,
-       CASE WHEN avg(Recency) < 30 AND avg(Monetary) > 2000 THEN 'VIP'
-            WHEN avg(Recency) < 90 AND avg(Monetary) > 500 THEN 'Active'
-            WHEN avg(Recency) > 200 THEN 'At Risk' ELSE 'Regular' END AS segment_label
+SELECT segment_cluster, count(*) AS customers, round(avg(CAST(Recency AS DECIMAL(28, 6))), 0) AS avg_recency_days,
+       round(avg(CAST(Frequency AS DECIMAL(28, 6))), 1) AS avg_orders, round(avg(CAST(Monetary AS DECIMAL(28, 6))), 0) AS avg_spend_gbp,
+       CASE WHEN avg(CAST(Recency AS DECIMAL(28, 6))) < 30 AND avg(CAST(Monetary AS DECIMAL(28, 6))) > 2000 THEN 'VIP'
+            WHEN avg(CAST(Recency AS DECIMAL(28, 6))) < 90 AND avg(CAST(Monetary AS DECIMAL(28, 6))) > 500 THEN 'Active'
+            WHEN avg(CAST(Recency AS DECIMAL(28, 6))) > 200 THEN 'At Risk' ELSE 'Regular' END AS segment_label
 FROM clustered GROUP BY segment_cluster ORDER BY avg_spend_gbp DESC, segment_cluster
 """,
         "rfm",
