@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,9 +16,23 @@ def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
 
 
+def drop_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Drop rows with a null or NaN in any of the columns.
+
+    The same rows as ``dropna`` drops, but as one filter per column, which the planner can push to
+    the scan of whichever table a column comes from.
+    """
+    types = dict(df.dtypes)
+    for c in columns:
+        df = df.filter(F.col(c).isNotNull())
+        if types[c] in ("double", "float"):
+            df = df.filter(~F.isnan(c))
+    return df
+
+
 def clean_retail(lines: DataFrame) -> DataFrame:
     """Keep sales: known customer and invoice, positive quantity and price; add ``Revenue``."""
-    sales = lines.dropna(subset=present(lines, RETAIL_REQUIRED))
+    sales = drop_missing(lines, present(lines, RETAIL_REQUIRED))
     sales = sales.filter((F.col("Quantity") > 0) & (F.col("UnitPrice") > 0))
     return cast_columns(sales, {"CustomerID": "bigint"}).withColumn("Revenue", revenue())
 
@@ -29,7 +43,7 @@ def clean_bank(rows: DataFrame) -> DataFrame:
     Nulls go first: the two steps commute, and the hash aggregate then sees fewer rows.
     """
     typed = cast_columns(rows, {c: "double" for c in present(rows, BANK_NUMERIC)})
-    return typed.dropna(subset=list(BANK_REQUIRED)).dropDuplicates()
+    return drop_missing(typed, BANK_REQUIRED).dropDuplicates()
 
 
 def with_credit_default(df: DataFrame) -> DataFrame:

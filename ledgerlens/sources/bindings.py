@@ -44,19 +44,20 @@ def retail_raw(spark: SparkSession, sf_dir: str, columns: Sequence[str] = RETAIL
     """Invoice lines with returns (negative quantity), free items (price 0) and unknown customers."""
     need = set(columns)
     lines = table(spark, sf_dir, "lineitem")
+    # Attributes are gathered on the smaller tables first, so lines take part in two joins at most.
+    if need & _FROM_PART:
+        part = table(spark, sf_dir, "part")
+        lines = lines.join(part, lines.l_partkey == part.p_partkey)
     if need & _FROM_ORDERS:
         # The date is written out per order, not per line.
         written = F.date_format("o_orderdate", "M/d/yyyy H:mm").alias("o_date_text")
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", written)
+        if "Country" in need:
+            customer = table(spark, sf_dir, "customer")
+            nation = table(spark, sf_dir, "nation")
+            places = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+            orders = orders.join(places, orders.o_custkey == places.c_custkey)
         lines = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-    if "Country" in need:
-        customer = table(spark, sf_dir, "customer")
-        nation = table(spark, sf_dir, "nation")
-        lines = lines.join(customer, lines.o_custkey == customer.c_custkey)
-        lines = lines.join(nation, lines.c_nationkey == nation.n_nationkey)
-    if need & _FROM_PART:
-        part = table(spark, sf_dir, "part")
-        lines = lines.join(part, lines.l_partkey == part.p_partkey)
     quantity = F.col("l_quantity").cast("int")
     exprs = {
         "InvoiceNo": lambda: F.col("l_orderkey").cast("string"),

@@ -238,7 +238,7 @@ def clean_retail(spark, d):
 )
 def drop_nulls(spark, d):
     lines = retail_raw(spark, d, ["InvoiceNo", "UnitPrice", "Quantity", "CustomerID"])
-    return lines.dropna(subset=list(RETAIL_REQUIRED))
+    return cleaning.drop_missing(lines, RETAIL_REQUIRED)
 
 
 @query("dedupe_rows", sql("SELECT DISTINCT * FROM bank", "bank"))
