@@ -14,33 +14,23 @@ from ..session import materialize, side_by_side
 from .positions import number_rows
 
 
-def _invoices(lines: DataFrame, *also_by: str) -> DataFrame:
-    """Lines folded to one row per invoice, with its revenue and time.
-
-    The keys are text and the sum is a number, so this is a hash aggregate with map-side combining
-    even where one customer holds much of the data. Dates are parsed afterwards, once per invoice.
-    """
-    amount = F.sum(F.col("Quantity") * F.col("UnitPrice")).alias("revenue")
-    folded = lines.groupBy("CustomerID", "InvoiceNo", *also_by, "InvoiceDate").agg(amount)
-    return folded.select("CustomerID", "InvoiceNo", *also_by, "revenue", invoice_ts().alias("ts"))
-
-
 def customer_rollup(lines: DataFrame) -> DataFrame:
     """Invoices, revenue, last purchase and first country of every retail customer.
 
     The first country is that of the earliest dated line, and the alphabetically first one if
-    several share that time. Choosing a text needs a sorting aggregate, which sees invoices only.
+    several share that time. Choosing a text needs a sorting aggregate, so lines are first folded to
+    invoices: the keys of that step are text but its sum is a number, which makes it a hash aggregate
+    with map-side combining, and dates are parsed after it, once per invoice.
     """
+    amount = F.sum(F.col("Quantity") * F.col("UnitPrice")).alias("revenue")
+    folded = lines.groupBy("CustomerID", "InvoiceNo", "Country", "InvoiceDate").agg(amount)
+    invoices = folded.select("CustomerID", "InvoiceNo", "Country", "revenue", invoice_ts().alias("ts"))
     first_seen = F.min(F.struct(F.col("ts").isNull(), "ts", "Country"))
-    return (
-        _invoices(lines, "Country")
-        .groupBy("CustomerID")
-        .agg(
-            F.count_distinct("InvoiceNo").alias("total_invoices"),
-            F.sum("revenue").alias("total_revenue"),
-            F.max("ts").alias("last_purchase_date"),
-            first_seen["Country"].alias("country"),
-        )
+    return invoices.groupBy("CustomerID").agg(
+        F.count_distinct("InvoiceNo").alias("total_invoices"),
+        F.sum("revenue").alias("total_revenue"),
+        F.max("ts").alias("last_purchase_date"),
+        first_seen["Country"].alias("country"),
     )
 
 
@@ -74,14 +64,14 @@ def rfm(lines: DataFrame, as_of: dt.datetime | Column | None = None) -> DataFram
     Without ``as_of`` the per-customer sums are stored once, so that finding the reference date does
     not scan the lines again; with it the result is one lazy plan.
     """
-    sums = (
-        _invoices(lines)
-        .groupBy("CustomerID")
-        .agg(
-            F.count_distinct("InvoiceNo").alias("total_invoices"),
-            F.sum("revenue").alias("total_revenue"),
-            F.max("ts").alias("last_purchase_date"),
-        )
+    invoices = lines.groupBy("CustomerID", "InvoiceNo").agg(
+        F.sum(F.col("Quantity") * F.col("UnitPrice")).alias("revenue"), F.max(invoice_ts()).alias("ts")
+    )
+    # One row per invoice, so counting rows with a number counts distinct invoices.
+    sums = invoices.groupBy("CustomerID").agg(
+        F.count("InvoiceNo").alias("total_invoices"),
+        F.sum("revenue").alias("total_revenue"),
+        F.max("ts").alias("last_purchase_date"),
     )
     return rfm_from_rollup(materialize(sums, "rfm") if as_of is None else sums, as_of)
 

@@ -35,6 +35,7 @@ def test_filters_and_columns_reach_the_stored_layer(spark):
 
 def test_rfm_combines_before_it_shuffles(spark):
     text = plan(customers.rfm(queries.dated_sales(spark, SF_DIR), as_of=F.current_timestamp()))
+    assert text.count("Exchange hashpartitioning(CustomerID") == 2
     first_shuffle = text.rindex("Exchange hashpartitioning(CustomerID")
     assert "HashAggregate(keys=[CustomerID" in text[first_shuffle:]
     assert "SortAggregate" not in text and "CartesianProduct" not in text and "NestedLoop" not in text

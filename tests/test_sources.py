@@ -43,3 +43,18 @@ def test_partition_column_moves_last_and_prunes(spark):
 
 def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark) == (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+
+
+def test_a_value_with_most_of_the_rows_is_written_by_several_tasks(spark):
+    path = new_path(spark, "table")
+    rows = spark.range(200_000).selectExpr("id", "xxhash64(id) AS noise", "IF(id % 10 < 7, 'hot', 'cold') AS Country")
+    # The target size of a task's share; the default suits larger tables.
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        overwrite_table(rows.repartition(8), path, partition_by="Country")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stored = read_table(spark, path)
+    files = stored.filter("Country = 'hot'").inputFiles()
+    assert len([f for f in files if "Country=hot" in f]) > 2
+    assert stored.count() == 200_000
