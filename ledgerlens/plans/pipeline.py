@@ -70,18 +70,28 @@ def compare_models(
     rounds: int = 50,
     exclude_from_credit: Sequence[str] = (),
 ) -> DataFrame:
-    """Train the three classifiers on the same split rule and compare them on held-out rows."""
+    """Train the three classifiers on the same split rule and compare them on held-out rows.
+
+    The three trainings are independent and made of many short jobs, so they run at once.
+    """
     key = key or gold.columns
     train, test = train_test_split(subscription_frame(gold), key)
     columns = subscription_features(gold)
-    results = {}
-    tuned = models.tune_logistic_regression(train, *columns, key=key)
-    results["Logistic Regression"] = models.evaluate(tuned.model.transform(test))
-    forest = models.fit_classifier(models.random_forest(trees), train, *columns)
-    results["Random Forest"] = models.evaluate(forest.transform(test))
-    train, test = train_test_split(credit_frame(gold), key)
-    boosted = models.fit_classifier(
-        models.boosted_trees(rounds), train, *credit_features(gold, exclude_from_credit)
-    )
-    results["GBT"] = models.evaluate(boosted.transform(test), models.CREDIT_LABEL)
-    return models.comparison(gold.sparkSession, results)
+    credit_train, credit_test = train_test_split(credit_frame(gold), key)
+    credit_columns = credit_features(gold, exclude_from_credit)
+
+    def tuned_regression():
+        model = models.tune_logistic_regression(train, *columns, key=key).model
+        return models.evaluate(model.transform(test))
+
+    def forest():
+        model = models.fit_classifier(models.random_forest(trees), train, *columns)
+        return models.evaluate(model.transform(test))
+
+    def boosted():
+        model = models.fit_classifier(models.boosted_trees(rounds), credit_train, *credit_columns)
+        return models.evaluate(model.transform(credit_test), models.CREDIT_LABEL)
+
+    names = ("Logistic Regression", "Random Forest", "GBT")
+    results = side_by_side(tuned_regression, forest, boosted)
+    return models.comparison(gold.sparkSession, dict(zip(names, results, strict=True)))

@@ -1,6 +1,9 @@
 """Invariants of segmentation and the classifiers, with small settings."""
 
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import features, metrics, models, segments
@@ -76,6 +79,22 @@ def test_grid_search(split):
     assert result.model.stages[-1].getRegParam() == best[0].reg_param
 
 
+def test_grid_search_equals_a_cross_validator(split):
+    train, _, columns = split
+    lr = models.logistic_regression()
+    validator = CrossValidator(
+        estimator=Pipeline(stages=[*features.feature_stages(*columns), lr]),
+        estimatorParamMaps=models.lr_grid(lr),
+        evaluator=BinaryClassificationEvaluator(labelCol="label"),
+        numFolds=2,
+        foldCol="fold",
+        parallelism=4,
+    )
+    want = validator.fit(train.withColumn("fold", features.fold_number(KEY, 2)).cache()).avgMetrics
+    got = models.tune_logistic_regression(train, *columns, key=KEY, folds=2).metrics
+    assert [r.avg_auc for r in got.collect()] == pytest.approx(list(want), abs=1e-9)
+
+
 def test_importances_carry_slot_names(split):
     train, _, columns = split
     model = models.fit_classifier(models.random_forest(trees=5, depth=4), train, *columns)
@@ -115,3 +134,9 @@ def test_layers_from_csv_feeds(spark):
     assert gold.count() == store.load("silver").count() == store.load("bronze_bank").count()
     assert gold.columns[-1] == "job"
     assert store.load("segments").count() == store.load("retail_rollup").count()
+
+
+def test_model_comparison_marks_the_best(gold):
+    table = pipeline.compare_models(gold, KEY, trees=3, rounds=2, exclude_from_credit=["balance"]).collect()
+    assert [r.model for r in table] == ["Logistic Regression", "Random Forest", "GBT"]
+    assert [r.auc for r in table if r.best] == [max(r.auc for r in table)]
