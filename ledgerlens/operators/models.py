@@ -52,7 +52,7 @@ def _prepare(train: DataFrame, categorical: Sequence[str], numeric: Sequence[str
 def _fit_on_features(estimator, prepared: PipelineModel, train: DataFrame) -> PipelineModel:
     """Fit the classifier on stored vectors: tree and gradient passes then skip the feature steps."""
     shared_folder(train.sparkSession)  # boosting cuts its lineage there every few rounds
-    vectors = prepared.transform(train).select(estimator.getLabelCol(), "features", VECTOR)
+    vectors = prepared.transform(train).select(estimator.getLabelCol(), VECTOR)
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return PipelineModel([*prepared.stages, estimator.fit(vectors)])

@@ -35,20 +35,30 @@ def _canonical(df: pd.DataFrame) -> list[tuple]:
     return sorted(rows, key=repr)
 
 
+# The type DuckDB should report for each Spark type.
+_SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def differences(spark: SparkSession, con: duckdb.DuckDBPyConnection, sf_dir: str, name: str) -> str | None:
     """What differs between a query and its SQL, or None."""
-    got = QUERIES[name](spark, sf_dir).toPandas()
+    df = QUERIES[name](spark, sf_dir)
+    got = df.toPandas()
     if name not in ORACLES:
         return None if len(got) else "no rows"
     want = con.execute(ORACLES[name]).df()
-    if sorted(got.columns) != sorted(want.columns):
-        return f"columns {sorted(got.columns)} != {sorted(want.columns)}"
+    types = {c: _SQL_TYPES.get(t, t) for c, t in df.dtypes}
+    described = {row[0]: row[1] for row in con.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
+    if types != described:
+        return f"types {sorted(types.items() ^ described.items())}"
     if len(got) != len(want):
         return f"{len(got)} rows, expected {len(want)}"
-    kinds = {c: (got[c].dtype.kind, want[c].dtype.kind) for c in got.columns}
-    wrong = {c: k for c, k in kinds.items() if k[0] != k[1] and got[c].notna().all()}
-    if wrong:
-        return f"types {wrong}"
     for a, b in zip(_canonical(got), _canonical(want), strict=True):
         if a != b:
             return f"{a} != {b}"
