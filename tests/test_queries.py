@@ -39,5 +39,5 @@ def test_entry_contract(spark):
     import __spark_entry__ as driver
 
     assert driver.entry(spark).columns == ["CustomerID", "Recency", "Frequency", "Monetary"]
-    assert driver.queries().keys() == QUERIES.keys()
-    assert driver.oracle_sql() == ORACLES
+    assert driver.queries().items() >= QUERIES.items()
+    assert driver.oracle_sql().items() >= ORACLES.items()
