@@ -26,10 +26,11 @@ from pyspark.sql import types as T
 from .common import NON_SPACE, WHITE_SPACE, id_and_text, map_text
 from .token_counts import byte_characters
 
-KEPT_WORDS = 300_000
+KEPT_WORDS = 400_000
+BATCH_BYTES = 3 << 20
 NO_RANK = np.iinfo(np.int64).max
 # Pre-token pattern of the vocabulary (fixed value).
-_PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{WHITE_SPACE}\p{{L}}\p{{N}}]+")
+_PIECE_OR_BORDER = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{WHITE_SPACE}\p{{L}}\p{{N}}]+|\n")
 
 
 class MergeTable:
@@ -41,11 +42,12 @@ class MergeTable:
         order = np.argsort(keys)
         self.keys, self.ranks, self.made = keys[order], order, made[order]
 
-    def merge(self, symbols: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
-        """Merge each of the consecutive pre-tokens of the given lengths as far as it goes."""
-        done: list[np.ndarray] = [symbols[:0]] * len(lengths)
-        names = np.arange(len(lengths))
-        names, lengths = names[lengths > 0], lengths[lengths > 0]
+    def merge(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merge each of the consecutive pre-tokens of the given lengths as far as it goes; their symbols and lengths then."""
+        names = np.flatnonzero(lengths)
+        lengths = lengths[names]
+        ended: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        n_pieces = int(names[-1]) + 1 if len(names) else 0
         while len(names):
             starts = np.cumsum(lengths) - lengths
             keys = symbols[:-1] * self.n_symbols + symbols[1:]
@@ -54,25 +56,34 @@ class MergeTable:
             ranks[:-1] = np.where(self.keys[at] == keys, self.ranks[at], NO_RANK)
             ranks[starts + lengths - 1] = NO_RANK
             best = np.minimum.reduceat(ranks, starts)
-            ended = best == NO_RANK
-            for i in np.flatnonzero(ended):
-                done[names[i]] = symbols[starts[i] : starts[i] + lengths[i]].copy()
+            over = best == NO_RANK
             piece = np.repeat(np.arange(len(names)), lengths)
-            hit = (ranks == best[piece]) & (ranks != NO_RANK)
+            if over.any():
+                ended.append((names[over], lengths[over], symbols[over[piece]]))
             # In a run such as "aaaa" every position hits; only each second one is merged.
-            where = np.flatnonzero(hit)
-            if len(where):
-                first = np.flatnonzero(np.diff(where, prepend=-2) != 1)
-                run = np.repeat(first, np.diff(np.append(first, len(where))))
-                where = where[(np.arange(len(where)) - run) % 2 == 0]
-                symbols = symbols.copy()
-                symbols[where] = self.made[at[where]]
-            keep = ~ended[piece]
+            where = np.flatnonzero((ranks == best[piece]) & (ranks != NO_RANK))
+            first = np.flatnonzero(np.diff(where, prepend=-2) != 1)
+            run = np.repeat(first, np.diff(np.append(first, len(where))))
+            where = where[(np.arange(len(where)) - run) % 2 == 0]
+            symbols[where] = self.made[at[where]]
+            keep = ~over[piece]
             keep[where + 1] = False
             merged = np.bincount(piece[where], minlength=len(names))
-            symbols = symbols[keep]
-            names, lengths = names[~ended], (lengths - merged)[~ended]
-        return done
+            symbols, names, lengths = symbols[keep], names[~over], (lengths - merged)[~over]
+        # Put the pre-tokens, which ended in different rounds, back in order.
+        if not ended:
+            return symbols[:0], np.zeros(n_pieces, np.int64)
+        names, lengths, symbols = (np.concatenate(part) for part in zip(*ended, strict=True))
+        order = np.argsort(names)
+        full = np.zeros(n_pieces, np.int64)
+        full[names] = lengths
+        return symbols[spans((np.cumsum(lengths) - lengths)[order], lengths[order])], full
+
+
+def spans(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The indexes of consecutive runs, given by where each begins and its length."""
+    stops = np.cumsum(lengths)
+    return np.repeat(begins - (stops - lengths), lengths) + np.arange(stops[-1] if len(stops) else 0)
 
 
 class WordBpe:
@@ -92,34 +103,38 @@ class WordBpe:
         self.inner = np.array([vocab[characters[b]] for b in range(256)], np.int64)
         self.final = np.array([vocab[characters[b] + self.suffix] for b in range(256)], np.int64)
         self._special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
-        self._words: dict[str, int] = {}
-        self._ids: list[np.ndarray] = []
+        self._forget()
 
-    def _pieces(self, word: str) -> list[bytes]:
-        # Capital sigma is lowered by itself, whatever stands next to it.
-        lowered = unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
-        return [p.encode() for p in _PIECE.findall(lowered)]
+    def _forget(self) -> None:
+        """Start over with the special strings only."""
+        self._words = {s: i for i, s in enumerate(self.special)}
+        self._store = np.array(list(self.special.values()), np.int64)
+        self._begins, self._lengths = np.arange(len(self.special)), np.ones(len(self.special), np.int64)
 
     def _learn(self, words: list[str]) -> None:
-        pieces = [self._pieces(w) for w in words]
-        flat = [p for own in pieces for p in own]
-        lengths = np.array([len(p) for p in flat], np.int64)
-        if len(flat):
-            joined = np.frombuffer(b"".join(flat), np.uint8)
-            symbols = self.inner[joined]
-            ends = np.cumsum(lengths) - 1
-            symbols[ends] = self.final[joined[ends]]
-            merged = iter(self.table.merge(symbols, lengths))
-        none = np.empty(0, np.int64)
-        for word, own in zip(words, pieces, strict=True):
-            self._words[word] = len(self._ids)
-            self._ids.append(np.concatenate([next(merged) for _ in own]) if own else none)
+        if not words:
+            return
+        # Capital sigma is lowered by itself, whatever stands next to it.
+        lowered = unicodedata.normalize("NFC", "\n".join(words)).replace("Σ", "σ").lower()
+        pieces = [p.encode() for p in _PIECE_OR_BORDER.findall(lowered)]
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        joined = np.frombuffer(b"".join(pieces), np.uint8)
+        ends = np.cumsum(sizes) - 1
+        border = joined[ends] == ord("\n")
+        symbols = self.inner[joined]
+        symbols[ends] = self.final[joined[ends]]
+        made, counts = self.table.merge(symbols[np.repeat(~border, sizes)], sizes[~border])
+        own = np.bincount(np.cumsum(border)[~border], counts, minlength=len(words)).astype(np.int64)
+        for word in words:
+            self._words[word] = len(self._words)
+        self._begins = np.append(self._begins, len(self._store) + np.cumsum(own) - own)
+        self._lengths = np.append(self._lengths, own)
+        self._store = np.append(self._store, made)
 
     def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Flat token ids of all texts, and the number of tokens of each."""
         if len(self._words) > KEPT_WORDS:
-            self._words.clear()
-            self._ids.clear()
+            self._forget()
         words: list[str] = []
         sizes = []
         for text in texts:
@@ -133,23 +148,10 @@ class WordBpe:
                 else:
                     words += NON_SPACE.findall(text)
             sizes.append(len(words) - before)
-        for s, number in self.special.items():
-            if s not in self._words:
-                self._words[s] = len(self._ids)
-                self._ids.append(np.array([number]))
         self._learn([w for w in dict.fromkeys(words) if w not in self._words])
         rows = np.fromiter(map(self._words.__getitem__, words), np.int64, len(words))
-        # Gather the tokens of all words: one flat store, read in word order.
-        used, rows = np.unique(rows, return_inverse=True)
-        kept = [self._ids[i] for i in used]
-        lengths = np.fromiter(map(len, kept), np.int64, len(kept))
-        store = np.concatenate(kept) if kept else np.empty(0, np.int64)
-        begins = np.cumsum(lengths) - lengths
-        own = lengths[rows]
-        stops = np.cumsum(own)
-        flat = store[np.repeat(begins[rows] - (stops - own), own) + np.arange(stops[-1] if len(stops) else 0)]
-        ends = np.cumsum(np.array(sizes, np.int64))
-        upto = np.append(0, stops)[ends]
+        flat = self._store[spans(self._begins[rows], self._lengths[rows])]
+        upto = np.append(0, np.cumsum(self._lengths[rows]))[np.cumsum(np.array(sizes, np.int64))]
         return flat, np.diff(upto, prepend=0)
 
     def decode(self, ids) -> str:
@@ -175,7 +177,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         return [pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))]
 
     fields = [("token_ids", T.ArrayType(T.IntegerType()), pa.list_(pa.int32()))]
-    return map_text(id_and_text(df, id_col, text_col), fields, rows).withColumnRenamed("id", id_col)
+    return map_text(id_and_text(df, id_col, text_col), fields, rows, BATCH_BYTES).withColumnRenamed("id", id_col)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "token_ids") -> DataFrame:
@@ -187,9 +189,10 @@ def decode(df: DataFrame, path: str, ids_col: str = "token_ids") -> DataFrame:
         names = np.array([bpe.tokens.get(i, "") for i in range(bpe.table.n_symbols)], object)
         for batch in stream:
             ids = batch.column(ids_col)
-            flat = names[ids.flatten().to_numpy(zero_copy_only=False)].tolist()
-            ends = np.append(0, np.cumsum([len(x) if x.is_valid else 0 for x in ids]))
-            made = [" ".join(flat[a:b]) if x.is_valid else None for a, b, x in zip(ends[:-1], ends[1:], ids, strict=True)]
+            made = []
+            for own in ids:
+                flat = own.values.to_numpy(zero_copy_only=False) if own.is_valid else None
+                made.append(None if flat is None else " ".join(names[flat]))
             kept = [batch.column(f.name) for f in schema if f.name != "decoded"]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(made, pa.string())], schema.names)
 

@@ -36,7 +36,10 @@ def lower_words_of(text: str | None) -> list[bytes]:
 
 
 def map_text(
-    df: DataFrame, fields: list[tuple[str, T.DataType, pa.DataType]], rows: Callable[[list[str | None]], list[pa.Array]]
+    df: DataFrame,
+    fields: list[tuple[str, T.DataType, pa.DataType]],
+    rows: Callable[[list[str | None]], list[pa.Array]],
+    batch_bytes: int = 8 << 20,
 ) -> DataFrame:
     """Compute columns from ``text`` batch by batch, next to ``id``. ``rows`` gets the texts of one batch."""
     schema = T.StructType([df.schema["id"], *[T.StructField(name, kind) for name, kind, _ in fields]])
@@ -44,7 +47,7 @@ def map_text(
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            for start, stop in slices_by_bytes(batch.column("text")):
+            for start, stop in slices_by_bytes(batch.column("text"), batch_bytes):
                 part = batch.slice(start, stop - start)
                 made = rows(part.column("text").to_pylist())
                 columns = [part.column("id"), *[pa.array(c, kind) if isinstance(c, list) else c for c, (_, _, kind) in zip(made, fields, strict=True)]]
