@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontamination, html_text, multi_index, sharding, simhash, token_counts, toxicity
+from . import bpe, decontamination, html_text, multi_index, ppm, sharding, simhash, token_counts, toxicity
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,6 +36,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), WORD_BPE), WORD_BPE))
 
 
+def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.scores(table(spark, sf_dir, "documents"))
+
+
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
