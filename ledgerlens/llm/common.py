@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterator
 
@@ -56,6 +57,19 @@ def map_text(
     return df.select("id", "text").mapInArrow(batches, schema)
 
 
+def filter_rows(df: DataFrame, text_col: str, keep: Callable[[list[str | None]], list[bool]]) -> DataFrame:
+    """The rows, with all their columns, whose text ``keep`` is true of."""
+    at = df.columns.index(text_col)
+
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for start, stop in slices_by_bytes(batch.column(at)):
+                part = batch.slice(start, stop - start)
+                yield part.filter(pa.array(keep(part.column(at).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(batches, df.schema)
+
+
 def slices_by_bytes(texts: pa.Array, most: int = 8 << 20) -> Iterator[tuple[int, int]]:
     """Cut a batch so that each piece holds about ``most`` bytes of text, or a single longer text."""
     import pyarrow.compute as pc
@@ -74,3 +88,21 @@ def slices_by_bytes(texts: pa.Array, most: int = 8 << 20) -> Iterator[tuple[int,
 def share_of(column: Column, parts: int) -> Column:
     """Remainder of the CRC-32 of the column's text, the split rule of the learning operators."""
     return F.crc32(F.encode(column.cast("string"), "UTF-8")) % parts
+
+
+BLOCK_BYTES = 8 << 20
+
+
+def blocks(df: DataFrame, id_col: str, text_col: str, block_bytes: int | None = None, rest: bool = False) -> tuple[DataFrame, int]:
+    """``(block, id, text)``: rows dealt by hash to blocks of about ``block_bytes`` of text, and the number of blocks.
+
+    Null texts become empty. With ``rest`` the other columns, of whatever names, go along in one struct.
+    """
+    rows = df.select(
+        df[id_col].alias("id"),
+        F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"),
+        *([F.struct(F.lit(True).alias("_"), *[df[c] for c in df.columns if c not in (id_col, text_col)]).alias("rest")] if rest else []),
+    )
+    total = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    count = max(1, math.ceil(total / (block_bytes or BLOCK_BYTES)))
+    return rows.select(F.pmod(F.xxhash64("id", "text"), F.lit(count)).alias("block"), *rows.columns), count

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_and_text, lower_words_of, slices_by_bytes
+from .common import filter_rows, id_and_text, lower_words_of, slices_by_bytes
 
 SIMILARITY = 0.8
 LEAST_WORDS = 5
@@ -271,8 +271,16 @@ def leaks(
     return found.withColumnsRenamed({"id": id_col, "item": item_col})
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, all columns, of documents that hold no item. Rows with a null id are kept."""
-    id_col = options.get("id_col", "doc_id")
-    held = leaks(docs, benchmark, **options).select(F.col(id_col).alias("_leaking")).distinct()
-    return docs.join(held, docs[id_col] == held["_leaking"], "left_anti")
+def clean(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text", similarity: float = SIMILARITY, recall: float = RECALL,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text holds no item, as ``leaks`` finds them."""
+    for part in _slices(benchmark, id_col=item_col, text_col=item_text_col):
+        shipped = docs.sparkSession.sparkContext.broadcast(prepare(part, similarity, recall))
+
+        def free(texts, shipped=shipped):
+            return [not own for own in leaks_of([lower_words_of(t) for t in texts], shipped.value)]
+
+        docs = filter_rows(docs, text_col, free)
+    return docs

@@ -257,3 +257,21 @@ def near_duplicates(df: DataFrame, radius: int = RADIUS, id_col: str = "doc_id",
     return grouped.join(least, "component").select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def representatives(df: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row, with all columns, of each group of ``near_duplicates``: the one with the smallest id.
+
+    Rows with one id are documents of their own; of those the one with the smallest hash of its text
+    stands first, and exact repeats of it are dropped.
+    """
+    key = F.struct(df[id_col].alias("id"), F.xxhash64(df[text_col]).alias("h"))
+    keyed = df.select(key.alias("id"), df[text_col].alias("text"))
+    prints = materialize(fingerprints(keyed, "id", "text").toDF("id", "fingerprint"), "simhash")
+    found = components(link(prints, radius))
+    grouped = prints.join(found, prints["fingerprint"] == found["vertex"], "left").select("id", F.coalesce("component", "fingerprint").alias("component"))
+    # Structs compare by their fields in order, and a null id before all others.
+    kept = grouped.groupBy("component").agg(F.min("id").alias("id")).select("id.*").toDF("_id", "_h")
+    rows = df.withColumn("_hash", F.xxhash64(df[text_col]))
+    same = df[id_col].eqNullSafe(kept["_id"]) & (rows["_hash"] == kept["_h"])
+    return rows.join(kept, same, "left_semi").dropDuplicates([id_col, "_hash"]).select(*df.columns)

@@ -12,8 +12,9 @@ The evidence of a text is the difference of its two log-likelihoods, normalised
 evidence of those words that by themselves speak for toxicity. A logistic curve, fitted on labelled
 rows that gave no counts, turns the two into a probability.
 
-Counts come from a sample of labelled rows bounded by ``sample_bytes`` per class in expectation (a
-hash threshold on the id, so the same rows whatever the layout); all rows are scored in whole.
+Counts come from a sample of at most ``sample_rows`` labelled ids per class in expectation (a hash
+threshold on the id, so the same rows whatever the layout), small enough to broadcast, so that no text
+is shuffled; all rows are scored in whole.
 """
 
 from __future__ import annotations
@@ -29,12 +30,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_and_text, lower_words_of, map_text, share_of
+from .common import filter_rows, id_and_text, lower_words_of, map_text, share_of
 
 DISCOUNT = 5.0
 DEPTH = 24
 STRONG = 1.8
-SAMPLE_BYTES = 48 << 20
+SAMPLE_ROWS = 10_000
 KEPT_WORDS = 300_000
 END = b" "
 
@@ -116,18 +117,22 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(w0 + w1 * a + w2 * b, -500, 500))))
 
 
-def fit_curve(rows: list[tuple[float, float, int]]) -> tuple[float, ...]:
-    """Logistic regression with a small ridge by Newton steps; without both classes a flat curve at their share."""
-    labels = np.array([r[2] for r in rows], float)
-    if not len(rows) or labels.min() == labels.max():
-        share = (labels.sum() + 0.5) / (len(rows) + 1)
+def fit_curve(rows: list[tuple[float, float, int, float]]) -> tuple[float, ...]:
+    """Weighted logistic regression with a small ridge by Newton steps; without both classes a flat curve at their share.
+
+    ``rows`` are the two parts of the evidence, the label and the weight.
+    """
+    data = np.array(rows, float).reshape(-1, 4)
+    labels, weights = data[:, 2], data[:, 3]
+    if not len(data) or labels.min() == labels.max():
+        share = ((labels * weights).sum() + 0.5) / (weights.sum() + 1)
         return (float(np.log(share / (1 - share))), 0.0, 0.0)
-    x = np.array([(1.0, r[0], r[1]) for r in rows])
+    x = np.column_stack([np.ones(len(data)), data[:, :2]])
     w = np.zeros(3)
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - labels) + 1e-2 * w
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(3)
+        gradient = x.T @ (weights * (p - labels)) + 1e-2 * w
+        hessian = (x * (weights * p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(3)
         step = np.linalg.solve(hessian, gradient)
         w -= np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
@@ -135,19 +140,25 @@ def fit_curve(rows: list[tuple[float, float, int]]) -> tuple[float, ...]:
     return tuple(map(float, w))
 
 
-def train(rows: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> Model:
-    """A model from ``(id, text, toxic)`` rows with labels 0 and 1.
+def sample(labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``(id, toxic, weight)`` of at most ``sample_rows`` ids per class in expectation, of ``(id, toxic)`` rows.
 
-    Other labels and null ids or labels are left out. Of an empty table the model gives one half to
-    every text.
+    An id with both labels is toxic. Labels other than 0 and 1 and null ids are left out. ``weight`` is
+    the number of rows that a sampled one stands for.
     """
-    rows = rows.filter("toxic IN (0, 1) AND id IS NOT NULL")
+    known = labels.filter("toxic IN (0, 1) AND id IS NOT NULL").groupBy("id").agg(F.max("toxic").cast("int").alias("toxic"))
+    held = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
+    share = {k: min(1.0, sample_rows / max(held.get(k, 0), 1)) for k in (0, 1)}
     place = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 20)) / float(1 << 20)
-    held = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("n")).collect()}
-    share = {k: min(1.0, sample_bytes / max(held.get(k, 0), 1)) for k in (0, 1)}
-    sampled = rows.filter(place < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
+    own = F.when(F.col("toxic") == 1, share[1]).otherwise(share[0])
+    return known.filter(place < own).withColumn("weight", 1 / own)
+
+
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
+    """A model from ``(id, text)`` rows and ``(id, toxic)`` rows, as sampled by ``sample``. Without any it gives one half to every text."""
+    # At most two classes of ``sample_rows`` ids: bounded by a parameter, whatever the tables.
+    sampled = docs.join(F.broadcast(sample(labels, sample_rows)), "id")
     for_curve = share_of(F.col("id"), 35) % 7 == 6
-    schema = "beginning binary, ordinary bigint, toxic bigint"
 
     def count(stream):
         tally: tuple[Counter[bytes], Counter[bytes]] = (Counter(), Counter())
@@ -163,14 +174,15 @@ def train(rows: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> Model:
         counted = [pa.array([own[k] for k in keys], pa.int64()) for own in found]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), *counted], ["beginning", "ordinary", "toxic"])
 
-    counted = sampled.filter(~for_curve).select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(count, schema)
+    schema = "beginning binary, ordinary bigint, toxic bigint"
+    counted = sampled.filter(~for_curve).select("text", "toxic").mapInArrow(count, schema)
     counted = counted.groupBy("beginning").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
     model = Model()
     # Neither class keeps anything of a count up to the discount, so those never tell the classes apart.
     for row in counted.filter(f"ordinary + toxic > {DISCOUNT}").toLocalIterator():
         model.counts[bytes(row.beginning)] = (row.ordinary, row.toxic)
     model.prepare()
-    shipped = rows.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+    shipped = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
 
     def measure(texts):
         own = _loaded(shipped)
@@ -178,8 +190,8 @@ def train(rows: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> Model:
         return [[a for a, _ in made], [b for _, b in made]]
 
     fields = [("evidence", T.DoubleType(), pa.float64()), ("strong", T.DoubleType(), pa.float64())]
-    labelled = sampled.filter(for_curve).select(F.struct("id", "toxic").alias("id"), "text")
-    model.curve = fit_curve([(r.evidence, r.strong, r.id.toxic) for r in map_text(labelled, fields, measure).collect()])
+    labelled = sampled.filter(for_curve).select(F.struct("toxic", "weight").alias("id"), "text")
+    model.curve = fit_curve([(r.evidence, r.strong, r.id.toxic, r.id.weight) for r in map_text(labelled, fields, measure).collect()])
     return model
 
 
@@ -206,6 +218,12 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     return map_text(id_and_text(df, id_col, text_col), [("score", T.DoubleType(), pa.float64())], rows).withColumnRenamed("id", id_col)
 
 
+def reject(df: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``df``, all columns, whose text scores below the threshold."""
+    shipped = df.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+    return filter_rows(df, text_col, lambda texts: [_loaded(shipped).score(t) < threshold for t in texts])
+
+
 def held_out(id_column: Column) -> Column:
     """Rows whose labels are never looked at."""
     return F.coalesce(share_of(id_column, 5) == 0, F.lit(True))
@@ -213,9 +231,8 @@ def held_out(id_column: Column) -> Column:
 
 def learned(docs: DataFrame, labels: DataFrame) -> Model:
     """The model that the labels of all documents outside the held-out part give."""
-    known = labels.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = id_and_text(docs, "doc_id", "text").join(known.withColumnRenamed("doc_id", "id"), "id")
-    return train(rows)
+    known = labels.filter(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("id"), "toxic")
+    return train(id_and_text(docs, "doc_id", "text"), known)
 
 
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
