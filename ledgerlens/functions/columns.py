@@ -30,6 +30,7 @@ def subscribed_label(column: str = "y") -> Column:
 
 def credit_label(default_column: str, balance: str = "balance") -> Column:
     """1.0 for customers in default or overdrawn."""
+    # Fixed value: the rule.
     bad = (F.trim(F.col(default_column)) == "yes") | (F.col(balance) < 0)
     return F.when(bad, 1.0).otherwise(0.0)
 
@@ -37,10 +38,12 @@ def credit_label(default_column: str, balance: str = "balance") -> Column:
 def balance_ratio(balance: str = "balance") -> Column:
     """``b / (b + 1)`` for a positive balance, else 0.0; null counts as not positive."""
     b = F.col(balance)
+    # Fixed value: the formula.
     return F.when(b > 0, (b / (b + 1)).cast("double")).otherwise(0.0)
 
 
 def risk_score(default_column: str = "credit_default", balance: str = "balance") -> Column:
+    # Fixed value: the rule.
     return F.when(F.col(default_column) == "yes", 1).when(F.col(balance) < 0, 1).otherwise(0)
 
 
@@ -56,16 +59,17 @@ def segment_band(recency: Column, monetary: Column) -> Column:
 
 
 def mean(column: str) -> Column:
-    """Average to six decimals, summed exactly.
-
-    A sum of doubles depends on the order of the rows, and at a rounding tie so does the rounded
-    average that a report prints. Decimal sums do not.
-    """
-    return F.avg(F.col(column).try_cast("decimal(28,6)"))
+    """Plain average: any finite value counts as it is, and NaN or infinity shows in the result."""
+    return F.avg(F.col(column).cast("double"))
 
 
 def rounded_mean(column: str, digits: int) -> Column:
-    return F.round(mean(column), digits).cast("double")
+    """The average for print, with at most six digits.
+
+    The last bits of a sum of doubles depend on the order of the rows. Rounding to six digits first
+    takes them off, so that an average on a rounding tie prints the same in any order.
+    """
+    return F.round(F.round(mean(column), 6), digits)
 
 
 def shorten(column: str, limit: int = 30) -> Column:

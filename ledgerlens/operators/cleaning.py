@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import present, revenue
-from ..schemas import BANK_NUMERIC, BANK_REQUIRED, RETAIL_REQUIRED
+from ..schemas import BANK_NUMERIC, BANK_REQUIRED, RETAIL_NUMERIC, RETAIL_REQUIRED
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
@@ -31,10 +31,19 @@ def drop_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def clean_retail(lines: DataFrame) -> DataFrame:
-    """Keep sales: known customer and invoice, positive quantity and price; add ``Revenue``."""
-    sales = drop_missing(lines, present(lines, RETAIL_REQUIRED))
+    """Keep sales: known customer and invoice, positive quantity and price; add ``Revenue``.
+
+    Types are settled first, so that a feed read with inferred types, where one bad value makes a whole
+    column text, keeps the same rows as one read with declared types.
+    """
+    kinds = dict(lines.dtypes)
+    types = {c: t for c, t in RETAIL_NUMERIC.items() if kinds.get(c) != t}
+    # Text such as "12345.0" is a number, but not yet a whole one.
+    texts = {c: "double" for c in types if kinds.get(c) == "string"}
+    sales = cast_columns(cast_columns(lines, texts), types) if types else lines
+    sales = drop_missing(sales, present(sales, RETAIL_REQUIRED))
     sales = sales.filter((F.col("Quantity") > 0) & (F.col("UnitPrice") > 0))
-    return cast_columns(sales, {"CustomerID": "bigint"}).withColumn("Revenue", revenue())
+    return sales.withColumn("Revenue", revenue())
 
 
 def clean_bank(rows: DataFrame) -> DataFrame:

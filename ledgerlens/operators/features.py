@@ -52,17 +52,24 @@ def feature_stages(categorical: Sequence[str], numeric: Sequence[str]) -> list[E
 
 
 def subscription_frame(gold: DataFrame) -> DataFrame:
-    return gold.withColumn("label", subscribed_label())
+    """The table with its label; a default flag under its old name takes the name the features have."""
+    return _renamed(gold).withColumn("label", subscribed_label())
+
+
+def _renamed(gold: DataFrame) -> DataFrame:
+    return gold if "credit_default" in gold.columns else gold.withColumnRenamed("default", "credit_default")
 
 
 def credit_frame(gold: DataFrame) -> DataFrame:
     """Label for credit risk; a table without the default flag falls back to ``y``."""
+    gold = _renamed(gold)
     flag = "credit_default" if "credit_default" in gold.columns else "y"
     return gold.withColumn("credit_label", credit_label(flag))
 
 
 def subscription_features(gold: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[str], list[str]]:
-    """The categorical and numeric features the table has."""
+    """The categorical and numeric features the table has, as ``subscription_frame`` names them."""
+    gold = _renamed(gold)
     categorical = [c for c in present(gold, CATEGORICAL_FEATURES) if c not in exclude]
     return categorical, [c for c in present(gold, NUMERIC_FEATURES) if c not in exclude]
 

@@ -13,11 +13,17 @@ from ..schemas import RFM_METRICS
 from .features import assembler, standard_scaler
 
 CLUSTER = "segment_cluster"
+FIT_PARTITIONS, FIT_ROWS = 8, 500_000
 
 
 def fit_segments(features: DataFrame, k: int = 4, seed: int = 42, max_iter: int = 20) -> PipelineModel:
-    """Fit on rows placed and sorted by customer, so that the seeded start does not depend on history."""
-    rows = features.fillna(0).repartition("CustomerID").sortWithinPartitions("CustomerID")
+    """Fit on rows placed and sorted by customer.
+
+    The seeded start draws per partition, so the number of partitions follows from the number of rows
+    and nothing else: a count that is given is neither taken from the session nor coalesced.
+    """
+    parts = max(FIT_PARTITIONS, -(-features.count() // FIT_ROWS))
+    rows = features.fillna(0).repartition(parts, "CustomerID").sortWithinPartitions("CustomerID")
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     kmeans = KMeans(featuresCol="rfm_scaled", predictionCol=CLUSTER, k=k, seed=seed, maxIter=max_iter)
     stages = [assembler(RFM_METRICS, "rfm_raw"), standard_scaler("rfm_raw", "rfm_scaled", center=True), kmeans]

@@ -116,8 +116,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 40) -> DataFram
     ends = df.agg(F.array(*ends).alias("ends")).select(F.inline("ends")).dropna()
     pad = F.when(F.col("least") == F.col("most"), 0.5).otherwise(0.0)
     ranges = ends.select("metric", (F.col("least") - pad).alias("low"), (F.col("most") + pad).alias("high"))
-    # One row per column of the frame, read twice below and small enough to broadcast.
-    ranges = materialize(ranges, "ranges")
+    # One row per column of the frame, small enough to broadcast; both joins below share that broadcast.
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     values = numbers.unpivot([], list(columns), "metric", "value").filter(F.col("value").isNotNull())
 

@@ -12,8 +12,7 @@ def top_jobs_by_balance(gold: DataFrame, k: int = 5, active_days: int = 30) -> D
     return gold.sparkSession.sql(
         """
         SELECT job, count(*) AS total_customers,
-               CAST(round(avg(try_cast(balance AS decimal(28, 6))), 0) AS double) AS avg_balance,
-               CAST(round(avg(try_cast(Monetary AS decimal(28, 6))), 0) AS double) AS avg_monetary
+               round(round(avg(balance), 6), 0) AS avg_balance, round(round(avg(Monetary), 6), 0) AS avg_monetary
         FROM {gold}
         WHERE y = 'no' AND Recency <= :active_days
         GROUP BY job

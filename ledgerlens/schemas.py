@@ -43,6 +43,7 @@ BANK_SCHEMA = T.StructType(
 # Column roles, defaults and formats the results depend on.
 INVOICE_DATE_PATTERN = "M/d/yyyy H:mm"
 RETAIL_REQUIRED = ("CustomerID", "InvoiceNo", "UnitPrice", "Quantity")
+RETAIL_NUMERIC = {"Quantity": "int", "UnitPrice": "double", "CustomerID": "bigint"}
 BANK_REQUIRED = ("balance", "age")
 BANK_NUMERIC = ("age", "balance", "day", "duration", "campaign", "pdays", "previous")
 GOLD_DOUBLE = (*BANK_NUMERIC, "Recency", "Monetary")
@@ -61,13 +62,13 @@ NUMERIC_FEATURES = (*BANK_NUMERIC, "Recency", "Frequency", "Monetary")
 RFM_DEFAULTS = {"Recency": 999, "Frequency": 0, "Monetary": 0.0}
 RFM_METRICS = ("Recency", "Frequency", "Monetary")
 
-# Stored tables: path under the warehouse and the column they are partitioned by.
+# Stored tables and the column each is partitioned by; a table's folder and view carry its name.
 TABLES = {
-    "bronze_retail": ("bronze_retail_txns", "Country"),
-    "bronze_bank": ("bronze_bank_profiles", None),
-    "retail_rollup": ("silver_retail_rollup", None),
-    "silver": ("silver_customer_360", None),
-    "gold": ("gold_master_features", "job"),
-    "segments": ("gold_customer_segments", None),
-    "stream": ("streaming_bronze_retail", None),
+    "bronze_retail": "Country",
+    "bronze_bank": None,
+    "retail_rollup": None,
+    "silver": None,
+    "gold": "job",
+    "segments": None,
+    "stream": None,
 }

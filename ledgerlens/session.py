@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", memory: str = "8g", name: str = "ledgerlens") -> SparkSession:
-    """A session for tests and benchmarks; on a cluster the caller brings its own."""
+    """A session for tests and benchmarks, with a temporary shared folder; on a cluster the caller brings its own."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
@@ -22,6 +25,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", name: str = "ledge
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.checkpoint.dir", os.environ.get("SPARK_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="ledgerlens-"))
         .getOrCreate()
     )
 
@@ -31,8 +35,9 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+    # One machine: a folder of its own, for sessions that were started without one.
     folder = tempfile.mkdtemp(prefix="ledgerlens-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -56,5 +61,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 def side_by_side(*actions: Callable[[], Any]) -> list[Any]:
     """Run independent steps at once, so that the tail of one leaves no executors idle."""
+    session = SparkSession.active()
+    started = [inheritable_thread_target(session)(action) for action in actions]
     with ThreadPool(len(actions)) as pool:
-        return pool.map(lambda action: action(), actions, chunksize=1)
+        return pool.map(lambda action: action(), started, chunksize=1)

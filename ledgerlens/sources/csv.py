@@ -1,23 +1,57 @@
-"""CSV feeds, as batches and as streams."""
+"""CSV feeds, as batches and as streams. Columns are found by the name in the header, in whatever order."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import BANK_SCHEMA, RETAIL_SCHEMA
 
 
+def typed(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of a schema from text columns of the same names; what does not convert or is missing is null."""
+    names = {c.strip(): c for c in df.columns}
+    columns = []
+    for field in schema:
+        text = F.col(f"`{names[field.name]}`") if field.name in names else F.lit(None).cast("string")
+        columns.append(text.try_cast(field.dataType).alias(field.name))
+    return df.select(*columns)
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
-    schema: StructType | None = None,
+    schema: StructType | str | None = None,
     sep: str = ",",
 ) -> DataFrame:
-    """Read a CSV with a header; without a schema the types are inferred in an extra pass."""
+    """Read a CSV with a header; without a schema the types are inferred in an extra pass.
+
+    With a schema everything is read as text first, so one file's order of columns, given by its header,
+    is as good as another's. Files of one folder must agree on it; one that does not fails the read.
+    """
     reader = spark.read.option("header", True).option("sep", sep)
-    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return typed(_as_text(reader, _header(reader, path) or schema.fieldNames()).csv(path), schema)
+
+
+def _header(reader, path: str) -> list[str]:
+    """The columns that the files of a folder name; none if it has no file yet."""
+    try:
+        return reader.csv(path).columns
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return []
+        raise
+
+
+def _as_text(reader, columns: list[str]):
+    """Read with exactly these columns, as text, and fail on a file whose header differs."""
+    text = StructType([StructField(c, StringType()) for c in columns])
+    return reader.schema(text).option("enforceSchema", False)
 
 
 def read_retail(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
@@ -38,8 +72,13 @@ def stream_csv(
     schema: StructType = RETAIL_SCHEMA,
     max_files: int | None = None,
 ) -> DataFrame:
-    """Follow a directory of CSV files; ``max_files`` bounds the size of a micro-batch."""
-    reader = spark.readStream.schema(schema).option("header", True)
+    """Follow a directory of CSV files; ``max_files`` bounds the size of a micro-batch.
+
+    The order of columns is that of the files present when the stream starts, or the schema's if there
+    are none yet.
+    """
+    header = _header(spark.read.option("header", True), directory)
+    reader = _as_text(spark.readStream.option("header", True), header or schema.fieldNames())
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(directory)
+    return typed(reader.csv(directory), schema)

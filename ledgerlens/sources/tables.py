@@ -2,15 +2,35 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..schemas import TABLES
 
 DEFAULT_FORMAT = "parquet"
 
 
+SCHEMA_FOLDER = "_schema"  # readers skip names that begin with an underscore
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    return spark.read.format(fmt).load(path)
+    """A stored table with the types it was written with.
+
+    File formats keep partition values as text in folder names, and would guess "01" to be a number; the
+    schema stored beside the data says what they are. Folder names cannot hold an empty text: as a
+    partition value it comes back null.
+    """
+    if fmt == "delta":
+        return spark.read.format(fmt).load(path)
+    try:
+        stored = spark.read.text(f"{path}/{SCHEMA_FOLDER}").first()
+    except AnalysisException:  # written by something else
+        stored = None
+    reader = spark.read.format(fmt)
+    return (reader.schema(T.StructType.fromJson(json.loads(stored[0]))) if stored else reader).load(path)
 
 
 def overwrite_table(
@@ -34,6 +54,9 @@ def overwrite_table(
     if replace_schema and fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
     writer.save(path)
+    if fmt != "delta":
+        spark = df.sparkSession
+        spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.text(f"{path}/{SCHEMA_FOLDER}")
 
 
 class Warehouse:
@@ -45,11 +68,11 @@ class Warehouse:
         self.fmt = fmt
 
     def path(self, table: str) -> str:
-        return f"{self.base}/{TABLES[table][0]}"
+        return f"{self.base}/{table}"
 
     def save(self, table: str, df: DataFrame) -> DataFrame:
         """Write a layer once and hand back the stored copy, so later steps never recompute it."""
-        partition_by = TABLES[table][1]
+        partition_by = TABLES[table]
         overwrite_table(df, self.path(table), partition_by, self.fmt, replace_schema=True)
         return self.load(table)
 
@@ -59,4 +82,4 @@ class Warehouse:
     def register_views(self, *tables: str) -> None:
         """Make stored tables visible to SQL users under their table names."""
         for table in tables:
-            self.load(table).createOrReplaceTempView(TABLES[table][0])
+            self.load(table).createOrReplaceTempView(table)

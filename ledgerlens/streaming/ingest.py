@@ -46,8 +46,10 @@ def ingest_directory(
     max_files: int | None = None,
 ) -> DataFrame:
     """Drain a directory and return the stored table."""
-    drain(enrich(stream_csv(spark, directory, max_files=max_files)), table, checkpoint, fmt)
-    return spark.read.format(fmt).load(table)
+    lines = enrich(stream_csv(spark, directory, max_files=max_files))
+    drain(lines, table, checkpoint, fmt)
+    # The stream knows its columns even if nothing has arrived yet.
+    return spark.read.format(fmt).load(table) if fmt == "delta" else spark.read.format(fmt).schema(lines.schema).load(table)
 
 
 def stream_summary(table: DataFrame) -> DataFrame:

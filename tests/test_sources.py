@@ -38,7 +38,7 @@ def test_partition_column_moves_last_and_prunes(spark):
     plan = stored.filter("Country = 'UK'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(Country" in plan
     store.register_views("bronze_retail")
-    assert spark.sql("SELECT sum(n) FROM bronze_retail_txns WHERE Country = 'UK'").first()[0] == 4
+    assert spark.sql("SELECT sum(n) FROM bronze_retail WHERE Country = 'UK'").first()[0] == 4
 
 
 def test_shared_folder_follows_the_session(spark):

@@ -56,9 +56,11 @@ def full_sales(spark: SparkSession, d: str) -> DataFrame:
 
 
 def bank(spark: SparkSession, d: str, *only: str) -> DataFrame:
-    """Clean bank rows; the key makes rows distinct, so any subset of columns de-duplicates alike."""
-    wanted = dict.fromkeys([*KEY, "age", "balance", *only]) if only else [*KEY, *BANK_COLUMNS]
-    return cleaning.with_credit_default(cleaning.clean_bank(bank_raw(spark, d, list(wanted))))
+    """Clean bank rows: whole rows are de-duplicated, then the named columns are taken."""
+    rows = cleaning.clean_bank(bank_raw(spark, d))
+    if only:
+        rows = rows.select(*dict.fromkeys([*KEY, "age", "balance", *only]))
+    return cleaning.with_credit_default(rows)
 
 
 def rollup(spark: SparkSession, d: str) -> DataFrame:
@@ -348,20 +350,20 @@ PREVIEW = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "
     sql(
         f"""
 , head AS (
-  SELECT {CLEAN_COLUMNS}, row_number() OVER (ORDER BY {CLEAN_COLUMNS}) AS n
+  SELECT {CLEAN_COLUMNS}, round(Revenue, 2) AS Revenue, row_number() OVER (ORDER BY {CLEAN_COLUMNS}) AS n
   FROM clean ORDER BY {CLEAN_COLUMNS} LIMIT 5)
 """
         + "\nUNION ALL\n".join(
             f"SELECT CAST(n AS INTEGER) AS row_no, '{c}' AS \"column\", "
-            f"CASE WHEN length(CAST({c} AS VARCHAR)) > 8 THEN CAST({c} AS VARCHAR)[1:8] || '...' "
+            f"CASE WHEN length(CAST({c} AS VARCHAR)) > 30 THEN CAST({c} AS VARCHAR)[1:30] || '...' "
             f'ELSE CAST({c} AS VARCHAR) END AS "value" FROM head'
-            for c in PREVIEW
+            for c in [*PREVIEW, "Revenue"]
         ),
         "clean",
     ),
 )
 def vertical_preview(spark, d):
-    return quality.vertical_preview(full_sales(spark, d).drop("Revenue"), PREVIEW, 5, 8)
+    return quality.vertical_preview(rounded(full_sales(spark, d), 2, "Revenue"), PREVIEW, 5)
 
 
 # Joins and keys --------------------------------------------------------------------------------
@@ -535,8 +537,8 @@ def label_share(spark, d):
     "overview_stats",
     sql(
         """
-SELECT count(*) AS total_customers, round(avg(CAST(age AS DECIMAL(28, 6))), 1) AS avg_age, round(avg(CAST(balance AS DECIMAL(28, 6))), 0) AS avg_balance,
-       round(avg(CAST(duration AS DECIMAL(28, 6))), 0) AS avg_call_duration, round(avg(CAST(campaign AS DECIMAL(28, 6))), 1) AS avg_campaign_contact
+SELECT count(*) AS total_customers, round(round(avg(age), 6), 1) AS avg_age, round(round(avg(balance), 6), 0) AS avg_balance,
+       round(round(avg(duration), 6), 0) AS avg_call_duration, round(round(avg(campaign), 6), 1) AS avg_campaign_contact
 FROM silver
 """,
         "silver",
@@ -550,8 +552,8 @@ def overview_stats(spark, d):
     "rfm_means",
     sql(
         """
-SELECT round(avg(CAST(Recency AS DECIMAL(28, 6))), 1) AS avg_recency, round(avg(CAST(Frequency AS DECIMAL(28, 6))), 1) AS avg_frequency,
-       round(avg(CAST(Monetary AS DECIMAL(28, 6))), 0) AS avg_monetary
+SELECT round(round(avg(Recency), 6), 1) AS avg_recency, round(round(avg(Frequency), 6), 1) AS avg_frequency,
+       round(round(avg(Monetary), 6), 0) AS avg_monetary
 FROM gold
 """,
         "gold",
@@ -631,7 +633,7 @@ FROM capped
     ),
 )
 def winsorize(spark, d):
-    stored = materialize(rfm(spark, d), "rfm")
+    stored = rfm(spark, d)
     return rounded(stats.winsorize(stored, RFM_METRICS, 0.95), 6, *RFM_METRICS)
 
 
@@ -661,7 +663,7 @@ GROUP BY ALL
     ),
 )
 def rfm_histogram(spark, d):
-    stored = materialize(rfm(spark, d), "rfm")
+    stored = rfm(spark, d)
     return rounded(stats.rfm_histogram(stored), 7, "bin_low", "bin_high")
 
 
@@ -755,8 +757,8 @@ CLUSTERS_SQL = ", clustered AS (SELECT *, CAST(CustomerID % 4 AS INTEGER) AS seg
     sql(
         CLUSTERS_SQL
         + """
-SELECT segment_cluster, count(*) AS num_customers, round(avg(CAST(Recency AS DECIMAL(28, 6))), 1) AS avg_recency,
-       round(avg(CAST(Frequency AS DECIMAL(28, 6))), 1) AS avg_frequency, round(avg(CAST(Monetary AS DECIMAL(28, 6))), 0) AS avg_monetary
+SELECT segment_cluster, count(*) AS num_customers, round(round(avg(Recency), 6), 1) AS avg_recency,
+       round(round(avg(Frequency), 6), 1) AS avg_frequency, round(round(avg(Monetary), 6), 0) AS avg_monetary
 FROM clustered GROUP BY segment_cluster ORDER BY segment_cluster
 """,
         "rfm",
@@ -972,7 +974,7 @@ def _scaled(df: DataFrame, columns: list[str], center: bool) -> DataFrame:
     ),
 )
 def standardize(spark, d):
-    scaled = _scaled(materialize(rfm(spark, d), "rfm"), list(RFM_METRICS), center=True)
+    scaled = _scaled(rfm(spark, d), list(RFM_METRICS), center=True)
     values = vector_to_array("scaled")
     return scaled.select(
         "CustomerID", *[F.round(values[i], 6).alias(f"z_{c.lower()}") for i, c in enumerate(RFM_METRICS)]
@@ -1066,7 +1068,7 @@ def split_counts(spark, d):
 
 @query("kmeans_segments")
 def kmeans_segments(spark, d):
-    stored = materialize(rfm(spark, d), "rfm")
+    stored = rfm(spark, d)
     return segments.band_profile(segments.segment_customers(stored))
 
 
@@ -1132,8 +1134,8 @@ def model_comparison(spark, d):
     "report_top_jobs",
     sql(
         """
-SELECT job, count(*) AS total_customers, round(avg(CAST(balance AS DECIMAL(28, 6))), 0) AS avg_balance,
-       round(avg(CAST(Monetary AS DECIMAL(28, 6))), 0) AS avg_monetary
+SELECT job, count(*) AS total_customers, round(round(avg(balance), 6), 0) AS avg_balance,
+       round(round(avg(Monetary), 6), 0) AS avg_monetary
 FROM gold WHERE y = 'no' AND Recency <= 30
 GROUP BY job ORDER BY avg_balance DESC, job LIMIT 5
 """,
@@ -1164,11 +1166,11 @@ def report_credit_by_education(spark, d):
     sql(
         CLUSTERS_SQL
         + """
-SELECT segment_cluster, count(*) AS customers, round(avg(CAST(Recency AS DECIMAL(28, 6))), 0) AS avg_recency_days,
-       round(avg(CAST(Frequency AS DECIMAL(28, 6))), 1) AS avg_orders, round(avg(CAST(Monetary AS DECIMAL(28, 6))), 0) AS avg_spend_gbp,
-       CASE WHEN avg(CAST(Recency AS DECIMAL(28, 6))) < 30 AND avg(CAST(Monetary AS DECIMAL(28, 6))) > 2000 THEN 'VIP'
-            WHEN avg(CAST(Recency AS DECIMAL(28, 6))) < 90 AND avg(CAST(Monetary AS DECIMAL(28, 6))) > 500 THEN 'Active'
-            WHEN avg(CAST(Recency AS DECIMAL(28, 6))) > 200 THEN 'At Risk' ELSE 'Regular' END AS segment_label
+SELECT segment_cluster, count(*) AS customers, round(round(avg(Recency), 6), 0) AS avg_recency_days,
+       round(round(avg(Frequency), 6), 1) AS avg_orders, round(round(avg(Monetary), 6), 0) AS avg_spend_gbp,
+       CASE WHEN avg(Recency) < 30 AND avg(Monetary) > 2000 THEN 'VIP'
+            WHEN avg(Recency) < 90 AND avg(Monetary) > 500 THEN 'Active'
+            WHEN avg(Recency) > 200 THEN 'At Risk' ELSE 'Regular' END AS segment_label
 FROM clustered GROUP BY segment_cluster ORDER BY avg_spend_gbp DESC, segment_cluster
 """,
         "rfm",
