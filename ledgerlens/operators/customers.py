@@ -17,21 +17,31 @@ from .positions import number_rows
 def customer_rollup(lines: DataFrame) -> DataFrame:
     """Invoices, revenue, last purchase and first country of every retail customer.
 
-    The first country is that of the earliest dated line, and the alphabetically first one if
-    several share that time. Choosing a text needs a sorting aggregate, so lines are first folded to
-    invoices: the keys of that step are text but its sum is a number, which makes it a hash aggregate
-    with map-side combining, and dates are parsed after it, once per invoice.
+    The first country is that of the earliest dated line, and the alphabetically first one if several
+    share that time. Keeping a text beside sums would turn every step into a sorting aggregate, so the
+    text stays among the keys: lines are folded to invoice, country and date, invoices to customers by
+    hash aggregates over numbers alone, and the earliest time is taken per customer and country. Only
+    those few rows are then compared by name. Both branches start from the same folded rows.
     """
     amount = F.sum(F.col("Quantity") * F.col("UnitPrice")).alias("revenue")
     folded = lines.groupBy("CustomerID", "InvoiceNo", "Country", "InvoiceDate").agg(amount)
-    invoices = folded.select("CustomerID", "InvoiceNo", "Country", "revenue", invoice_ts().alias("ts"))
-    first_seen = F.min(F.struct(F.col("ts").isNull(), "ts", "Country"))
-    return invoices.groupBy("CustomerID").agg(
-        F.count_distinct("InvoiceNo").alias("total_invoices"),
+    dated = folded.select("CustomerID", "InvoiceNo", "Country", "revenue", invoice_ts().alias("ts"))
+    invoices = dated.groupBy("CustomerID", "InvoiceNo").agg(F.sum("revenue").alias("revenue"), F.max("ts").alias("ts"))
+    sums = invoices.groupBy("CustomerID").agg(
+        F.count("InvoiceNo").alias("total_invoices"),
         F.sum("revenue").alias("total_revenue"),
         F.max("ts").alias("last_purchase_date"),
-        first_seen["Country"].alias("country"),
     )
+    # A customer is in both branches, so an inner join loses none; a null one is matched as a value.
+    firsts = first_countries(dated).withColumnRenamed("CustomerID", "_customer")
+    return sums.join(firsts, sums["CustomerID"].eqNullSafe(firsts["_customer"])).drop("_customer")
+
+
+def first_countries(dated: DataFrame) -> DataFrame:
+    """The country of each customer's earliest dated row; undated rows count only if there are no others."""
+    seen = dated.groupBy("CustomerID", "Country").agg(F.min("ts").alias("ts"))
+    first = F.min(F.struct(F.col("ts").isNull(), "ts", "Country"))
+    return seen.groupBy("CustomerID").agg(first["Country"].alias("country"))
 
 
 def latest(df: DataFrame, column: str) -> Column:

@@ -156,10 +156,10 @@ def _slot_names(model: PipelineModel, sample: DataFrame) -> list[str]:
 
 
 def feature_importances(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Importance of every vector slot under its own name."""
+    """Importance of every vector slot, numbered, under its own name."""
     importances = model.stages[-1].featureImportances.toArray()
-    named = [(name, float(v)) for name, v in zip(_slot_names(model, rows), importances, strict=True)]
-    return rows.sparkSession.createDataFrame(named, "feature string, importance double")
+    named = [(i, name, float(v)) for i, (name, v) in enumerate(zip(_slot_names(model, rows), importances, strict=True))]
+    return rows.sparkSession.createDataFrame(named, "slot int, feature string, importance double")
 
 
 def top_importances(importances: DataFrame, n: int = 15) -> DataFrame:

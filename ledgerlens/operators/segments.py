@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +46,34 @@ def assign_segments(model: PipelineModel, features: DataFrame) -> DataFrame:
     )
 
 
+def check_segments(model: PipelineModel, segments: DataFrame, tolerance: float = 0.05) -> DataFrame:
+    """One row on what must hold of a clustering.
+
+    How many customers and clusters there are; whether clusters are numbered by mean spend; whether each
+    row is nearest to its own centre; and whether each centre is the mean of its rows, within the step
+    that the last iteration may still have taken, in units of standard deviations.
+    """
+    vectors = PipelineModel(model.stages[:-1]).transform(segments)
+    centers = sorted((c.tolist() for c in model.stages[-1].clusterCenters()), key=lambda c: (c[2], c[0], c[1]))
+    position = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centers])
+    scaled = vector_to_array("rfm_scaled")
+    distance = lambda c: F.aggregate(F.zip_with(scaled, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    own = F.get(position, F.col(CLUSTER))
+    rows = vectors.select(
+        CLUSTER, "Monetary", (distance(own) <= F.array_min(F.transform(position, distance)) + 1e-9).alias("nearest"),
+        *[scaled[i].alias(f"x{i}") for i in range(3)], *[own[i].alias(f"c{i}") for i in range(3)],
+    )
+    off = F.greatest(*[F.abs(F.avg(f"x{i}") - F.first(f"c{i}")) for i in range(3)])
+    groups = rows.groupBy(CLUSTER).agg(
+        F.count(F.lit(1)).alias("n"), F.avg("Monetary").alias("spend"), F.bool_and("nearest").alias("nearest"), off.alias("off")
+    )
+    spends = F.transform(F.array_sort(F.collect_list(F.struct(CLUSTER, "spend"))), lambda s: s["spend"])
+    return groups.agg(
+        F.sum("n").alias("customers"), F.count(F.lit(1)).alias("clusters"), (spends == F.array_sort(spends)).alias("by_spend"),
+        F.bool_and("nearest").alias("nearest"), (F.max("off") <= tolerance).alias("centred"),
+    )
+
+
 def segment_customers(features: DataFrame, k: int = 4, seed: int = 42, max_iter: int = 20) -> DataFrame:
     return assign_segments(fit_segments(features, k, seed, max_iter), features)
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from ..operators import models
+from ..operators import metrics, models
 from ..operators.cleaning import clean_bank, clean_retail, with_credit_default
 from ..operators.customers import (
     customer_rollup,
@@ -24,7 +26,7 @@ from ..operators.features import (
     train_test_split,
 )
 from ..operators.segments import segment_customers
-from ..session import side_by_side
+from ..session import materialize, side_by_side
 from ..sources.tables import Warehouse
 from .gold import gold_master
 
@@ -63,14 +65,25 @@ def build_layers(store: Warehouse, retail: DataFrame, bank: DataFrame, key: Sequ
     side_by_side(lambda: build_gold(store), lambda: build_segments(store))
 
 
-def compare_models(
+@dataclass
+class TrainedModels:
+    """What one training of the three classifiers gives. Predictions are stored frames of held-out rows."""
+
+    models: dict[str, PipelineModel]
+    predictions: dict[str, DataFrame]
+    confusion: dict[str, DataFrame]
+    importances: dict[str, DataFrame]
+    comparison: DataFrame
+
+
+def train_models(
     gold: DataFrame,
     key: Sequence[str] = (),
     trees: int = 100,
     rounds: int = 50,
     exclude_from_credit: Sequence[str] = (),
-) -> DataFrame:
-    """Train the three classifiers on the same split rule and compare them on held-out rows.
+) -> TrainedModels:
+    """Fit each of the three classifiers once, on the same split rule, and derive everything from those fits.
 
     The three trainings are independent and made of many short jobs, so they run at once.
     """
@@ -80,18 +93,35 @@ def compare_models(
     credit_train, credit_test = train_test_split(credit_frame(gold), key)
     credit_columns = credit_features(gold, exclude_from_credit)
 
+    def finish(name, model, rows, label):
+        kept = [c for c in dict.fromkeys([*key, label]) if c in rows.columns]
+        predictions = materialize(models.score(model, rows, kept), "predictions")
+        return name, model, predictions, models.evaluate(predictions, label), label
+
     def tuned_regression():
-        model = models.tune_logistic_regression(train, *columns, key=key).model
-        return models.evaluate(model.transform(test))
+        return finish("Logistic Regression", models.tune_logistic_regression(train, *columns, key=key).model, test, models.LABEL)
 
     def forest():
-        model = models.fit_classifier(models.random_forest(trees), train, *columns)
-        return models.evaluate(model.transform(test))
+        return finish("Random Forest", models.fit_classifier(models.random_forest(trees), train, *columns), test, models.LABEL)
 
     def boosted():
         model = models.fit_classifier(models.boosted_trees(rounds), credit_train, *credit_columns)
-        return models.evaluate(model.transform(credit_test), models.CREDIT_LABEL)
+        return finish("GBT", model, credit_test, models.CREDIT_LABEL)
+
+    done = side_by_side(tuned_regression, forest, boosted)
+    return TrainedModels(
+        models={name: model for name, model, *_ in done},
+        predictions={name: predictions for name, _, predictions, *_ in done},
+        confusion={name: metrics.confusion_matrix(predictions, label) for name, _, predictions, _, label in done},
+        importances={
+            name: models.feature_importances(model, credit_train if name == "GBT" else train)
+            for name, model, *_ in done
+            if hasattr(model.stages[-1], "featureImportances")
+        },
+        comparison=models.comparison(gold.sparkSession, {name: scores for name, _, _, scores, _ in done}),
+    )
+
 
-    names = ("Logistic Regression", "Random Forest", "GBT")
-    results = side_by_side(tuned_regression, forest, boosted)
-    return models.comparison(gold.sparkSession, dict(zip(names, results, strict=True)))
+def compare_models(gold: DataFrame, key: Sequence[str] = (), **settings) -> DataFrame:
+    """Accuracy and AUC of the three classifiers of :func:`train_models`, with the best marked."""
+    return train_models(gold, key, **settings).comparison

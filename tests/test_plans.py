@@ -85,3 +85,28 @@ def test_nulls_are_dropped_before_copies(spark):
 def test_hot_partition_value_is_rebalanced(spark):
     text = table(spark, SF_DIR, "orders").hint("rebalance", "o_orderstatus")._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions" in text
+
+
+def test_rollup_sorts_no_lines(spark):
+    from workload.queries import QUERIES
+
+    df = QUERIES["retail_summary"](spark, "/root/testdata/sf0.001")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan[plan.index("== Final Plan ==") : plan.index("== Initial Plan ==")]
+    # Only the choice of a country among a customer's few sorts.
+    assert final.count("SortAggregate") == 2
+    assert final.count("HashAggregate") == 8
+
+
+def test_intermediates_are_stored_once(spark, tmp_path, monkeypatch):
+    import os
+
+    from ledgerlens import session
+    from workload.queries import QUERIES
+
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    for name, most in (("winsorize", 4), ("rfm_histogram", 4), ("kmeans_segments", 1), ("standardize", 1)):
+        before = set(os.listdir(tmp_path))
+        QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+        assert len(set(os.listdir(tmp_path)) - before) <= most, name
