@@ -99,7 +99,7 @@ def build(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     share = min(1.0, 1.2 * sample / max(total, 1))
     place = F.pmod(F.xxhash64("vector"), F.lit(1 << 20)) / float(1 << 20)
     drawn = distinct.filter(place < share).select("vector").limit(sample).collect()
-    points = np.array([r.vector for r in drawn], float).reshape(len(drawn), -1)
+    points = np.array([r.vector for r in drawn], float) if drawn else np.empty((0, 2))
     half = points.shape[1] // 2
     k = max(1, min(MOST_CENTROIDS, round(CENTROIDS_PER_ROOT * total**0.5)))
     codebooks = (k_means(points[:, :half], k), k_means(points[:, half:], k))
