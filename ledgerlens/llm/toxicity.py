@@ -19,7 +19,6 @@ is shuffled; all rows are scored in whole.
 
 from __future__ import annotations
 
-import pickle
 from collections import Counter
 from dataclasses import dataclass, field
 from math import log
@@ -182,10 +181,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     for row in counted.filter(f"ordinary + toxic > {DISCOUNT}").toLocalIterator():
         model.counts[bytes(row.beginning)] = (row.ordinary, row.toxic)
     model.prepare()
-    shipped = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def measure(texts):
-        own = _loaded(shipped)
+        own = shipped.value
         made = [own.features(t) for t in texts]
         return [[a for a, _ in made], [b for _, b in made]]
 
@@ -195,24 +194,12 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     return model
 
 
-_LOADED: dict[int, Model] = {}
-
-
-def _loaded(shipped) -> Model:
-    """The model of a broadcast, unpacked once per worker."""
-    key = shipped._jbroadcast_id if hasattr(shipped, "_jbroadcast_id") else id(shipped)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = pickle.loads(shipped.value)
-    return _LOADED[key]
-
-
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, score)`` of every row; a null, empty or blank text gets the score of no evidence."""
-    shipped = df.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+    shipped = df.sparkSession.sparkContext.broadcast(model)
 
     def rows(texts):
-        own = _loaded(shipped)
+        own = shipped.value
         return [[own.score(t) for t in texts]]
 
     return map_text(id_and_text(df, id_col, text_col), [("score", T.DoubleType(), pa.float64())], rows).withColumnRenamed("id", id_col)
@@ -220,8 +207,8 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
 
 def reject(df: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``df``, all columns, whose text scores below the threshold."""
-    shipped = df.sparkSession.sparkContext.broadcast(pickle.dumps(model))
-    return filter_rows(df, text_col, lambda texts: [_loaded(shipped).score(t) < threshold for t in texts])
+    shipped = df.sparkSession.sparkContext.broadcast(model)
+    return filter_rows(df, text_col, lambda texts: [shipped.value.score(t) < threshold for t in texts])
 
 
 def held_out(id_column: Column) -> Column:
