@@ -136,7 +136,20 @@ def test_layers_from_csv_feeds(spark):
     assert store.load("segments").count() == store.load("retail_rollup").count()
 
 
-def test_model_comparison_marks_the_best(gold):
-    table = pipeline.compare_models(gold, KEY, trees=3, rounds=2, exclude_from_credit=["balance"]).collect()
-    assert [r.model for r in table] == ["Logistic Regression", "Random Forest", "GBT"]
+def test_one_training_gives_all_outputs(gold, monkeypatch):
+    fitted = []
+    fit = models._fit_on_features
+    monkeypatch.setattr(models, "_fit_on_features", lambda estimator, *rest: fitted.append(estimator) or fit(estimator, *rest))
+    trained = pipeline.train_models(gold, KEY, trees=3, rounds=2, exclude_from_credit=["balance"])
+    assert len(fitted) == 3
+    table = trained.comparison.collect()
+    assert sorted(r.model for r in table) == ["GBT", "Logistic Regression", "Random Forest"]
     assert [r.auc for r in table if r.best] == [max(r.auc for r in table)]
+    for r in table:
+        predictions, matrix = trained.predictions[r.model], trained.confusion[r.model].collect()
+        label = matrix[0].__fields__[0]
+        rows = predictions.collect()
+        assert sum(m["count"] for m in matrix) == len(rows)
+        assert sum(m["count"] for m in matrix if m[label] == m.prediction) == pytest.approx(r.accuracy * len(rows))
+    assert set(trained.importances) == {"Random Forest", "GBT"}
+    assert trained.importances["GBT"].agg({"importance": "sum"}).first()[0] == pytest.approx(1)
