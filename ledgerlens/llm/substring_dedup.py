@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from itertools import compress
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -75,47 +75,50 @@ def labels(words: np.ndarray, sizes: np.ndarray, depth: int = DEPTH) -> tuple[np
     return whole[:n], ((prefix * _C) >> np.uint64(32)).astype(np.uint32)
 
 
+class _Numbers(dict):
+    """Words by the order in which they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Block:
     """The suffixes of a block of documents, sorted by label; equal labels are one entry with the smallest id."""
 
     def __init__(self, ids: list[int | None], texts: list[str], depth: int = DEPTH):
         self.depth, self.words = depth, [words_of(t) for t in texts]
-        known: dict[bytes, int] = {}
-        for own in self.words:
-            for w in set(own).difference(known):
-                known[w] = xxhash.xxh64_intdigest(w)
-        label, prefix, owner, place = [], [], [], []
-        for d, own in enumerate(self.words):
-            # A document without id neither removes nor loses anything.
-            if len(own) >= depth and ids[d] is not None:
-                hashes = np.fromiter(map(known.__getitem__, own), np.uint64, len(own))
-                sizes = np.fromiter(map(len, own), np.int64, len(own))
-                a, b = labels(hashes, sizes, depth)
-                label.append(a)
-                prefix.append(b)
-                owner.append(np.full(len(a), d, np.int32))
-                place.append(np.arange(len(a), dtype=np.int32))
-        join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
-        label, prefix = join(label, np.uint64), join(prefix, np.uint32)
-        order = np.argsort(label, kind="stable")
-        self.label, self.prefix = label[order], prefix[order]
-        self.owner, self.place = join(owner, np.int32)[order], join(place, np.int32)[order]
-        number = np.array([0 if i is None else i for i in ids], np.int64)
-        self.id = number[self.owner] if len(ids) else number[:0]
+        counts = np.fromiter(map(len, self.words), np.int64, len(self.words))
+        known = _Numbers()
+        number = np.fromiter(map(known.__getitem__, chain.from_iterable(self.words)), np.int64, int(counts.sum()))
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known))
+        sizes = np.fromiter(map(len, known), np.int64, len(known))
+        # All documents in one run of words; labels that reach over a border are left out again.
+        label, prefix = labels(hashes[number], sizes[number], depth)
+        owner = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        place = (np.arange(len(number)) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.int32)
+        # A document without id neither removes nor loses anything.
+        last = np.where([i is not None for i in ids], counts - depth, -1) if len(ids) else counts
+        at = np.flatnonzero(place[: len(label)] <= last[owner[: len(label)]])
+        at = at[np.argsort(label[at])]
+        self.label, self.prefix, self.owner, self.place = label[at], prefix[at], owner[at], place[at]
+        self.id = np.array([0 if i is None else i for i in ids], np.int64)[self.owner]
         same = (self.label[1:] == self.label[:-1]) & (self.prefix[1:] == self.prefix[:-1])
-        self.first = np.flatnonzero(np.append(True, ~same)) if len(label) else np.empty(0, np.int64)
-        self.entry = np.cumsum(np.append(True, ~same)) - 1 if len(label) else np.empty(0, np.int64)
-        self.least = np.minimum.reduceat(self.id, self.first) if len(label) else self.id
-
-    def short(self, bits: int) -> np.ndarray:
-        """Sorted distinct labels cut to ``bits`` bits."""
-        return np.unique(self.label >> np.uint64(64 - bits))
-
-    def repeated(self, bits: int, answer: np.ndarray) -> np.ndarray:
-        """Entries that may be in another document, here or, as ``answer`` has it by short label, elsewhere."""
+        opens = np.append(True, ~same)[: len(at)]
+        self.first = np.flatnonzero(opens)
+        self.entry = np.cumsum(opens) - 1
+        self.least = np.minimum.reduceat(self.id, self.first) if len(at) else self.id
+
+    def short(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted distinct labels cut to ``bits`` bits, and which of them is each entry's."""
+        cut = self.label[self.first] >> np.uint64(64 - bits)
+        opens = np.append(True, cut[1:] != cut[:-1])[: len(cut)]
+        return cut[opens], np.cumsum(opens) - 1
+
+    def repeated(self, answer: np.ndarray) -> np.ndarray:
+        """Entries that may be in another document, here or, as ``answer`` has it for each, elsewhere."""
         greatest = np.maximum.reduceat(self.id, self.first) if len(self.first) else self.id
-        at = np.searchsorted(self.short(bits), self.label[self.first] >> np.uint64(64 - bits))
-        return (answer[at] if len(at) else np.empty(0, bool)) | (greatest > self.least)
+        return answer | (greatest > self.least)
 
     def removed(self, elsewhere: np.ndarray) -> list[np.ndarray | None]:
         """For each document which words go; ``elsewhere`` tells of each entry whether a smaller document elsewhere has it."""
@@ -180,12 +183,12 @@ class Plan:
     def answers(self, block: Block, found: pa.Table) -> tuple[np.ndarray, list[tuple[int, np.ndarray]], np.ndarray]:
         """What the answers to a block say: entries that may repeat, dealt to groups, and those of a smaller document elsewhere."""
         given = {(k, p): v for k, p, v in zip(*(found.column(c).to_pylist() for c in ("kind", "part", "data")), strict=True)}
-        short = block.short(self.bits)
+        short, own_short = block.short(self.bits)
         answer = np.zeros(len(short), bool)
         for r, a, b in self.ranges(short):
             if (0, r) in given:
                 answer[a:b] = _flags(given[0, r], b - a)
-        entries = np.flatnonzero(block.repeated(self.bits, answer))
+        entries = np.flatnonzero(block.repeated(answer[own_short]))
         groups = self.groups(block, entries)
         elsewhere = np.zeros(len(block.first), bool)
         for g, own in groups:
@@ -220,7 +223,7 @@ def _removals(dealt: DataFrame, plan: Plan) -> DataFrame:
 
     def send_short(texts: pa.Table) -> pa.Table:
         block, name = _opened(texts, plan.depth), texts.column("block")[0].as_py()
-        short = block.short(plan.bits)
+        short, _ = block.short(plan.bits)
         return _sent([(r, name, packed(short[a:b])) for r, a, b in plan.ranges(short)])
 
     def compare_short(sent: pa.Table) -> pa.Table:
