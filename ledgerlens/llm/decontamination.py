@@ -18,6 +18,7 @@ Items are taken in slices of bounded size, each sent to the executors; documents
 
 from __future__ import annotations
 
+import functools
 import math
 from collections import defaultdict
 from collections.abc import Iterator
@@ -43,7 +44,6 @@ MOST_STEPS = 60
 CLASSES = (5, 12, 24, 48)
 SEED = 20_240_601
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_BITMAP_SHIFT = np.uint64(44)
 
 
 def repetitions(recall: float = RECALL, once: float = FOUND_ONCE) -> int:
@@ -73,9 +73,19 @@ class Sampling:
     bits: np.ndarray
     steps: tuple[int, ...]
     stages: list[np.ndarray]
+    shift: np.uint64
     keys: np.ndarray
     entries: list[list[tuple[int, int]]]
 
+    @functools.cached_property
+    def seen(self) -> list[np.ndarray]:
+        """Bitmap of the items' keys after each step; made where it is used, as it is larger than what it is made of."""
+        maps = []
+        for places in self.stages:
+            maps.append(np.zeros(1 << (64 - int(self.shift)), bool))
+            maps[-1][places] = True
+        return maps
+
 
 @dataclass
 class Items:
@@ -120,19 +130,18 @@ def _sampling(random, words, members, low, n_symbols, similarity) -> Sampling:
         flat += [words[i], np.ones(MOST_STEPS + 2, np.int64)]
         at += len(words[i]) + MOST_STEPS + 2
     symbols, begin = np.concatenate(flat), np.array(starts)
+    shift = np.uint64(64 - min(24, len(begin).bit_length() + 6))
     key, pointer, done, stages = _mix(np.zeros(len(begin), np.uint64), symbols[begin]), np.zeros(len(begin), np.int64), 0, []
     for step in steps:
         pointer = walk(symbols, bits[symbols], begin, pointer, done, step)
         done = step
         key = _mix(key, symbols[begin + pointer])
-        seen = np.zeros(1 << 20, bool)
-        seen[key >> _BITMAP_SHIFT] = True
-        stages.append(seen)
+        stages.append(np.unique(key >> shift))
     entries = defaultdict(list)
     for k, owner in zip(key.tolist(), owners, strict=True):
         entries[k].append(owner)
     keys = np.array(sorted(entries), np.uint64)
-    return Sampling(bits, steps, stages, keys, [entries[k] for k in keys.tolist()])
+    return Sampling(bits, steps, stages, shift, keys, [entries[k] for k in keys.tolist()])
 
 
 def candidates(symbols: np.ndarray, stop: int, items: Items) -> set[tuple[int, int]]:
@@ -149,11 +158,11 @@ def candidates(symbols: np.ndarray, stop: int, items: Items) -> set[tuple[int, i
         for sampling in own:
             bits = sampling.bits[symbols]
             at, key, pointer, done = begin, first_key, np.zeros(len(begin), np.int64), 0
-            for step, seen in zip(sampling.steps, sampling.stages, strict=True):
+            for step, seen in zip(sampling.steps, sampling.seen, strict=True):
                 pointer = walk(symbols, bits, at, pointer, done, step)
                 done = step
                 key = _mix(key, symbols[at + pointer])
-                live = seen[key >> _BITMAP_SHIFT]
+                live = seen[key >> sampling.shift]
                 at, key, pointer = at[live], key[live], pointer[live]
             place = np.minimum(np.searchsorted(sampling.keys, key), len(sampling.keys) - 1)
             for p, k in zip(at[sampling.keys[place] == key].tolist(), place[sampling.keys[place] == key].tolist(), strict=True):
