@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 from .common import NON_SPACE, WHITE_SPACE, id_and_text, map_text
 from .token_counts import byte_characters
 
-KEPT_WORDS = 400_000
-BATCH_BYTES = 3 << 20
+KEPT_WORDS = 250_000
+BATCH_BYTES = 2 << 20
 NO_RANK = np.iinfo(np.int64).max
 # Pre-token pattern of the vocabulary (fixed value).
 _PIECE_OR_BORDER = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{WHITE_SPACE}\p{{L}}\p{{N}}]+|\n")
@@ -99,6 +99,7 @@ class WordBpe:
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         pairs = np.array([(vocab[a], vocab[b]) for a, b in merges], np.int64)
         self.table = MergeTable(pairs, np.array([vocab[a + b] for a, b in merges], np.int64), max(self.tokens) + 1)
+        self.names = np.array([self.tokens.get(i, "") for i in range(max(self.tokens) + 1)], object)
         characters = {b: c for c, b in byte_characters().items()}
         self.inner = np.array([vocab[characters[b]] for b in range(256)], np.int64)
         self.final = np.array([vocab[characters[b] + self.suffix] for b in range(256)], np.int64)
@@ -164,19 +165,27 @@ def word_bpe(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """``(id_col, token_ids)``: the ids of every whole text, without special tokens around it.
 
-    Special strings inside a text become their own ids. A null or empty text has no ids. Repeated rows
-    are encoded each; other columns of ``df`` are ignored. ``path`` names the file on the executors.
+    With ``decoded`` the ids are decoded again in the same pass, and that text is added. Special strings
+    inside a text become their own ids. A null or empty text has no ids. Repeated rows are encoded each;
+    other columns of ``df`` are ignored. ``path`` names the file on the executors. Letters are those of
+    the Unicode version of the ``regex`` module, which may know newer ones than the vocabulary's library.
     """
 
     def rows(texts):
-        flat, counts = word_bpe(path).encode_batch(texts)
-        offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
-        return [pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))]
+        bpe = word_bpe(path)
+        flat, counts = bpe.encode_batch(texts)
+        ends = np.append(0, np.cumsum(counts))
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+        if not decoded:
+            return [ids]
+        return [ids, [" ".join(bpe.names[flat[a:b]]) for a, b in zip(ends[:-1], ends[1:], strict=True)]]
 
     fields = [("token_ids", T.ArrayType(T.IntegerType()), pa.list_(pa.int32()))]
+    if decoded:
+        fields.append(("decoded", T.StringType(), pa.string()))
     return map_text(id_and_text(df, id_col, text_col), fields, rows, BATCH_BYTES).withColumnRenamed("id", id_col)
 
 
@@ -186,13 +195,12 @@ def decode(df: DataFrame, path: str, ids_col: str = "token_ids") -> DataFrame:
 
     def batches(stream):
         bpe = word_bpe(path)
-        names = np.array([bpe.tokens.get(i, "") for i in range(bpe.table.n_symbols)], object)
         for batch in stream:
             ids = batch.column(ids_col)
             made = []
             for own in ids:
                 flat = own.values.to_numpy(zero_copy_only=False) if own.is_valid else None
-                made.append(None if flat is None else " ".join(names[flat]))
+                made.append(None if flat is None else " ".join(bpe.names[flat]))
             kept = [batch.column(f.name) for f in schema if f.name != "decoded"]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(made, pa.string())], schema.names)
 

@@ -37,7 +37,7 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), WORD_BPE), WORD_BPE))
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), WORD_BPE, decoded=True))
 
 
 def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
