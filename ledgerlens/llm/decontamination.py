@@ -1,24 +1,20 @@
-"""Benchmark decontamination with CGK embeddings and bit-sampling LSH.
+"""Benchmark decontamination over word edits, exact for any placement of the edits.
 
-The random walk of Chakraborty, Goldenberg and Koucky reads a word sequence with a pointer: step j
-outputs the word under the pointer and moves on if a random bit of (j, that word) says so. Two
-sequences with few edits between them are read in step again soon after an edit, so their outputs
-differ in few places: edit distance has become Hamming distance, for which sampling positions is a
-locality-sensitive hash. Each repetition has bits and positions of its own; their number follows from
-the recall aimed at.
+An item with at most k edits is cut into k + 1 stretches of words, as equal as can be; wherever the edits
+fall, one stretch is untouched. So each stretch is a seed, and every place of a document that reads like
+a seed, at whatever depth of the item, is a candidate. Seeds are looked up word by word: a place is left
+as soon as no seed goes on like it, which for nearly all is the first or second word. Candidates that hold
+too few of the item's words are left out, which loses none, and the others are verified: the least number
+of word edits that turn the item into some stretch of the document there, by dynamic programming.
 
-Every word of a document starts a window of the size of the items. A window is walked only as far as
-it agrees with some item at all positions sampled so far, starting with its first word, so nearly all
-windows are left after a few steps. So that an edit in an item's first words does not hide it, an item
-is also entered with its first few words left off. Candidates are then verified exactly: the least
-number of word edits that turn the item into some stretch of the document there, by dynamic programming.
+Sampled positions of a random walk over the words (CGK embeddings with bit-sampling LSH) would find such
+places with a probability only, which sinks to nothing for some placements of the edits.
 
 Items are taken in slices of bounded size, each sent to the executors; documents are not shuffled.
 """
 
 from __future__ import annotations
 
-import functools
 import math
 from collections import defaultdict
 from collections.abc import Iterator
@@ -35,56 +31,33 @@ from .common import filter_rows, id_and_text, lower_words_of, slices_by_bytes
 
 SIMILARITY = 0.8
 LEAST_WORDS = 5
-RECALL = 0.95
-# Least probability that one repetition finds an item with as many edits as allowed, in trials over random edits.
-FOUND_ONCE = 0.25
-SKIPS = 5
+# Share of the places within the similarity that are found.
+RECALL = 1.0
 SLICE_WORDS = 2_000_000
-MOST_STEPS = 60
-CLASSES = (5, 12, 24, 48)
-SEED = 20_240_601
+# A longer stretch is looked up by its first words, which are as untouched as it is.
+SEED_WORDS = 8
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def repetitions(recall: float = RECALL, once: float = FOUND_ONCE) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - once))
-
-
 def allowed_edits(n_words: int, similarity: float = SIMILARITY) -> int:
     return int((1 - similarity) * n_words + 1e-9)
 
 
-def walk(symbols: np.ndarray, bits: np.ndarray, at: np.ndarray, pointer: np.ndarray, first: int, stop: int) -> np.ndarray:
-    """Pointers after steps ``first`` to ``stop - 1`` of windows that begin at ``at``. ``bits``: 64 steps per position."""
-    for j in range(first, stop):
-        pointer = pointer + ((bits[at + pointer] >> np.uint64(j)) & np.uint64(1)).astype(np.int64)
-    return pointer
-
-
 def _mix(key: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     key = (key ^ symbol.astype(np.uint64)) * _MULTIPLIER
     return key ^ (key >> np.uint64(29))
 
 
 @dataclass
-class Sampling:
-    """One repetition for one class of item sizes: where to look, and the items by what is seen there."""
-
-    bits: np.ndarray
-    steps: tuple[int, ...]
-    stages: list[np.ndarray]
-    shift: np.uint64
-    keys: np.ndarray
-    entries: list[list[tuple[int, int]]]
-
-    @functools.cached_property
-    def seen(self) -> list[np.ndarray]:
-        """Bitmap of the items' keys after each step; made where it is used, as it is larger than what it is made of."""
-        maps = []
-        for places in self.stages:
-            maps.append(np.zeros(1 << (64 - int(self.shift)), bool))
-            maps[-1][places] = True
-        return maps
+class Seeds:
+    """All seeds of one number of words: the keys of their beginnings by length, and who owns each whole one."""
+
+    first: np.ndarray
+    prefixes: list[np.ndarray]
+    # Owners of ``prefixes[-1][n]`` are those from ``bounds[n]`` to ``bounds[n + 1]``.
+    bounds: np.ndarray
+    item: np.ndarray
+    offset: np.ndarray
 
 
 @dataclass
@@ -92,11 +65,11 @@ class Items:
     ids: list
     words: list[np.ndarray]
     vocabulary: dict[bytes, int]
-    samplings: list[list[Sampling]]
+    seeds: list[Seeds]
     similarity: float
 
 
-def prepare(items: list[tuple], similarity: float = SIMILARITY, recall: float = RECALL) -> Items:
+def prepare(items: list[tuple], similarity: float = SIMILARITY) -> Items:
     """Index ``(id, text)`` rows. Items of fewer than ``LEAST_WORDS`` words, null ones among them, are left out."""
     vocabulary: dict[bytes, int] = {}
     ids, words = [], []
@@ -106,68 +79,50 @@ def prepare(items: list[tuple], similarity: float = SIMILARITY, recall: float =
             ids.append(item)
             # 0 is any word that no item has, 1 the space after a text.
             words.append(np.array([vocabulary.setdefault(w, len(vocabulary) + 2) for w in own], np.int64))
-    random = np.random.default_rng(SEED)
-    samplings = []
-    for low, high in zip(CLASSES, [*CLASSES[1:], math.inf], strict=True):
-        members = [i for i, w in enumerate(words) if low <= len(w) < high]
-        if members:
-            samplings.append([_sampling(random, words, members, low, len(vocabulary) + 2, similarity) for _ in range(repetitions(recall))])
-    return Items(ids, words, vocabulary, samplings, similarity)
-
-
-def _sampling(random, words, members, low, n_symbols, similarity) -> Sampling:
-    bits = random.integers(0, 2**63, n_symbols, dtype=np.uint64) * np.uint64(2) + random.integers(0, 2, n_symbols, dtype=np.uint64)
-    # The pointer moves at every second step on average, so these steps read the smallest item's words.
-    last = min(MOST_STEPS, max(4, int(1.6 * (low - 1))))
-    cuts = np.linspace(1, last + 1, 4).astype(int)
-    cuts[1] = min(cuts[1], 6)
-    steps = tuple(int(random.integers(a, max(b, a + 1))) for a, b in zip(cuts[:-1], cuts[1:], strict=True))
-    starts, owners, flat, at = [], [], [], 0
-    for i in members:
-        for skip in range(min(SKIPS, allowed_edits(len(words[i]), similarity) + 1)):
-            starts.append(at + skip)
-            owners.append((i, skip))
-        flat += [words[i], np.ones(MOST_STEPS + 2, np.int64)]
-        at += len(words[i]) + MOST_STEPS + 2
-    symbols, begin = np.concatenate(flat), np.array(starts)
-    shift = np.uint64(64 - min(24, len(begin).bit_length() + 6))
-    key, pointer, done, stages = _mix(np.zeros(len(begin), np.uint64), symbols[begin]), np.zeros(len(begin), np.int64), 0, []
-    for step in steps:
-        pointer = walk(symbols, bits[symbols], begin, pointer, done, step)
-        done = step
-        key = _mix(key, symbols[begin + pointer])
-        stages.append(np.unique(key >> shift))
-    entries = defaultdict(list)
-    for k, owner in zip(key.tolist(), owners, strict=True):
-        entries[k].append(owner)
-    keys = np.array(sorted(entries), np.uint64)
-    return Sampling(bits, steps, stages, shift, keys, [entries[k] for k in keys.tolist()])
-
-
-def candidates(symbols: np.ndarray, stop: int, items: Items) -> set[tuple[int, int]]:
-    """(item, where it would begin) for all windows that begin before ``stop`` and agree with it in some repetition."""
-    found: set[tuple[int, int]] = set()
-    for own in items.samplings:
-        first_words = np.zeros(len(items.vocabulary) + 2, bool)
-        for sampling in own[:1]:
-            for entries in sampling.entries:
-                for i, skip in entries:
-                    first_words[items.words[i][skip]] = True
-        begin = np.flatnonzero(first_words[symbols[:stop]])
-        first_key = _mix(np.zeros(len(begin), np.uint64), symbols[begin])
-        for sampling in own:
-            bits = sampling.bits[symbols]
-            at, key, pointer, done = begin, first_key, np.zeros(len(begin), np.int64), 0
-            for step, seen in zip(sampling.steps, sampling.seen, strict=True):
-                pointer = walk(symbols, bits, at, pointer, done, step)
-                done = step
-                key = _mix(key, symbols[at + pointer])
-                live = seen[key >> sampling.shift]
-                at, key, pointer = at[live], key[live], pointer[live]
-            place = np.minimum(np.searchsorted(sampling.keys, key), len(sampling.keys) - 1)
-            for p, k in zip(at[sampling.keys[place] == key].tolist(), place[sampling.keys[place] == key].tolist(), strict=True):
-                found.update((i, p - skip) for i, skip in sampling.entries[k])
-    return found
+    by_length = defaultdict(list)
+    for i, own in enumerate(words):
+        parts = allowed_edits(len(own), similarity) + 1
+        cuts = [len(own) * j // parts for j in range(parts + 1)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a < b:
+                by_length[min(b - a, SEED_WORDS)].append((i, a))
+    seeds = [_seeds(words, n, own, len(vocabulary) + 2) for n, own in sorted(by_length.items())]
+    return Items(ids, words, vocabulary, seeds, similarity)
+
+
+def _seeds(words: list[np.ndarray], length: int, owners: list[tuple[int, int]], n_symbols: int) -> Seeds:
+    symbols = np.stack([words[i][a : a + length] for i, a in owners])
+    first = np.zeros(n_symbols, bool)
+    first[symbols[:, 0]] = True
+    key, prefixes = np.zeros(len(symbols), np.uint64), []
+    for j in range(length):
+        key = _mix(key, symbols[:, j])
+        prefixes.append(np.unique(key))
+    order = np.argsort(key, kind="stable")
+    item, offset = np.array(owners, np.int64)[order].T
+    bounds = np.append(np.searchsorted(key[order], prefixes[-1]), len(key))
+    return Seeds(first, prefixes, bounds, item, offset)
+
+
+def candidates(symbols: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all places that read like a seed: the item, where it would begin without edits, and the place. Sorted by item."""
+    found = []
+    for seeds in items.seeds:
+        at = np.flatnonzero(seeds.first[symbols])
+        key = _mix(np.zeros(len(at), np.uint64), symbols[at])
+        for j, known in enumerate(seeds.prefixes):
+            if j:
+                key = _mix(key, symbols[at + j])
+            place = np.minimum(np.searchsorted(known, key), len(known) - 1)
+            live = known[place] == key
+            at, key, place = at[live], key[live], place[live]
+        lengths = seeds.bounds[place + 1] - seeds.bounds[place]
+        entry = np.repeat(seeds.bounds[place] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        at = np.repeat(at, lengths)
+        found.append((seeds.item[entry], at - seeds.offset[entry], at))
+    item, begin, at = (np.concatenate(c) for c in zip(*found, strict=True))
+    order = np.lexsort((begin, item))
+    return item[order], begin[order], at[order]
 
 
 def verify(item: np.ndarray, stretches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,7 +140,7 @@ def verify(item: np.ndarray, stretches: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def leaks_of(documents: list[list[bytes]], items: Items) -> list[list[tuple[int, int, int, int]]]:
     """For each document its ``(item, edits, first word, word after the last)``: the best place of each item it holds."""
-    gap = np.ones(MOST_STEPS + 2, np.int64)
+    gap = np.ones(SEED_WORDS, np.int64)
     known = items.vocabulary
     pieces, starts, at = [], [], 0
     for words in documents:
@@ -196,30 +151,43 @@ def leaks_of(documents: list[list[bytes]], items: Items) -> list[list[tuple[int,
     if not pieces or not items.words:
         return result
     symbols, begins = np.concatenate(pieces), np.array(starts)
-    by_item = defaultdict(list)
-    for i, p in candidates(symbols, len(symbols) - len(gap), items):
-        by_item[i].append(p)
+    lengths = np.array([len(words) for words in documents])
+    owners, all_places, at = candidates(symbols, items)
+    # A beginning may lie before the document's own; the place of the seed tells which document it is.
+    all_owners = np.searchsorted(begins, at, side="right") - 1
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for i, places in by_item.items():
+    own_words = np.zeros(len(known) + 2, bool)
+    bounds = np.append(np.flatnonzero(np.diff(owners, prepend=-1)), len(owners))
+    for start, stop_at in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        i = int(owners[start])
         item = items.words[i]
         k = allowed_edits(len(item), items.similarity)
-        places = np.array(sorted(places))
-        # A skipped beginning may lie before the document's own; it then counts as missing.
-        owner = np.searchsorted(begins, np.maximum(places + min(SKIPS, k), 0), side="right") - 1
-        ends = begins[owner] + np.array([len(documents[d]) for d in owner.tolist()])
-        for lo in range(0, len(places), 4096):
-            part, low, high = places[lo : lo + 4096], begins[owner[lo : lo + 4096]], ends[lo : lo + 4096]
+        # Two seeds of one place are one candidate.
+        places, owner = all_places[start:stop_at], all_owners[start:stop_at]
+        new = np.append(True, (np.diff(places) != 0) | (np.diff(owner) != 0))
+        places, owner = places[new], owner[new]
+        own_words[item] = True
+        ends = begins[owner] + lengths[owner]
+        step = max(1, min(4096, (1 << 20) // len(item)))
+        for lo in range(0, len(places), step):
+            part, low, high = places[lo : lo + step], begins[owner[lo : lo + step]], ends[lo : lo + step]
             index = part[:, None] + np.arange(-k, len(item) + k)
             inside = (index >= low[:, None]) & (index < high[:, None])
             stretch = np.where(inside, symbols[np.clip(index, 0, len(symbols) - 1)], -1)
+            # Words that are not edited away have their like in the stretch.
+            enough = np.flatnonzero((own_words[stretch] & inside).sum(axis=1) >= len(item) - k)
+            if not len(enough):
+                continue
+            part, low, stretch = part[enough], low[enough], stretch[enough]
             edits, stop = verify(item, stretch)
             for n in np.flatnonzero(edits <= k).tolist():
                 back_edits, back = verify(item[::-1], stretch[n : n + 1, : stop[n]][:, ::-1])
                 first = int(part[n] - k + stop[n] - back[0] - low[n])
                 found = (int(edits[n]), first, int(part[n] - k + stop[n] - low[n]))
-                where = int(owner[lo + n]), i
+                where = int(owner[lo + enough[n]]), i
                 if where not in best or found < best[where]:
                     best[where] = found
+        own_words[item] = False
     for (d, i), found in sorted(best.items()):
         result[d].append((i, *found))
     return result
@@ -237,7 +205,7 @@ def _slices(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[t
 
 def leaks(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text", similarity: float = SIMILARITY, recall: float = RECALL,
+    item_col: str = "item_id", item_text_col: str = "text", similarity: float = SIMILARITY,
 ) -> DataFrame:
     """``(id_col, item_col, edits, similarity, first_word, end_word)``, one row for each document and item in it.
 
@@ -254,7 +222,7 @@ def leaks(
     ])
 
     def searched(part: list[tuple]) -> DataFrame:
-        shipped = docs.sparkSession.sparkContext.broadcast(prepare(part, similarity, recall))
+        shipped = docs.sparkSession.sparkContext.broadcast(prepare(part, similarity))
 
         def batches(stream):
             items = shipped.value
@@ -282,11 +250,11 @@ def leaks(
 
 def clean(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text", similarity: float = SIMILARITY, recall: float = RECALL,
+    item_col: str = "item_id", item_text_col: str = "text", similarity: float = SIMILARITY,
 ) -> DataFrame:
     """The rows of ``docs``, all columns, whose text holds no item, as ``leaks`` finds them."""
     for part in _slices(benchmark, id_col=item_col, text_col=item_text_col):
-        shipped = docs.sparkSession.sparkContext.broadcast(prepare(part, similarity, recall))
+        shipped = docs.sparkSession.sparkContext.broadcast(prepare(part, similarity))
 
         def free(texts, shipped=shipped):
             return [not own for own in leaks_of([lower_words_of(t) for t in texts], shipped.value)]

@@ -72,6 +72,27 @@ def test_items_in_slices(spark, monkeypatch):
     assert sorted(tuple(r) for r in decontamination.leaks(docs, bench).collect())[:5] == sliced[:5] and sliced
 
 
+@pytest.mark.parametrize("n_words", [7, 15, 30, 38, 47, 58, 90])
+def test_leaks_are_found_wherever_the_edits_lie(n_words):
+    random = np.random.default_rng(n_words)
+    word = lambda n: [f"w{x}" for x in random.integers(0, 3000, n)]
+    k = decontamination.allowed_edits(n_words)
+    items = [(i, " ".join(word(n_words))) for i in range(20)]
+    index = decontamination.prepare(items)
+    even = [n_words * j // k for j in range(k)]
+    for i, text in items:
+        own = text.split()
+        cut, replaced, tail = own[k:], word(k) + own[k:], own[:-k] + word(k)
+        spread = [w if p not in even else "other" for p, w in enumerate(own)]
+        more = [w for p, v in enumerate(own) for w in ([v, "more"] if p in even else [v])]
+        less = [w for p, w in enumerate(own) if p not in even]
+        edited = [cut, replaced, tail, spread, more, less]
+        texts = [[*word(20), *e, *word(20)] for e in edited] + edited
+        for text_words, found in zip(texts, decontamination.leaks_of([[w.encode() for w in t] for t in texts], index), strict=True):
+            held = [f for f in found if f[0] == i]
+            assert len(held) == 1 and held[0][1] == edit_distance(own, text_words) <= k
+
+
 def nearest(vectors, queries, n):
     rows = []
     for q, x in queries:
