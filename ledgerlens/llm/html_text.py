@@ -8,8 +8,11 @@ and compared with a threshold that follows from the spread of the page's scores.
 where the content is: their common container. Blocks of that container are the text, short ones and
 headings among them, but for paths that are links in the main.
 
-Elements that by their tag or their class, id or role are menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles or comments take no part at all.
+Menus, headers of the page, footers, sidebars, dialogs, scripts and styles take no part by their tag. An
+element is suspected if it is a form or has a class, id or role that as a whole names a part that is not
+content; it is left out unless it holds most of the page's text and little running text and no article is elsewhere. A
+name that only has such a word in it is evidence: it lowers the score, and text there has to be running
+text. The elements html, body, main and article are never judged by their names.
 """
 
 from __future__ import annotations
@@ -28,10 +31,11 @@ from .common import slices_by_bytes
 
 # Fixed values of the HTML standard and names in common use for parts that are not content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math select button".split())
+RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg select button annotation annotation-xml".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike"
-    " strong sub sup time tt u var wbr".split()
+    " strong sub sup time tt u var wbr math semantics maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts"
+    " mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
@@ -42,7 +46,9 @@ CLOSES_OWN = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
 }
-NOT_CONTENT = frozenset("head nav header footer aside form menu dialog fieldset".split()) | RAW
+NOT_CONTENT = frozenset("head nav header footer aside menu dialog".split()) | RAW
+FORMS = frozenset(("form", "fieldset"))
+LANDMARKS = frozenset(("html", "body", "main", "article"))
 NOT_CONTENT_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar aside menu nav navbar"
     " navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent gdpr notice notification popup modal overlay"
@@ -52,6 +58,10 @@ NOT_CONTENT_NAMES = frozenset(
 PUNCTUATION = re.compile(r"[.,;:!?…、。！？؟।]")
 WEIGHTS = (0.25, 0.5, 0.25)
 SPREAD = 0.5
+NAME_WEIGHT = 0.25
+RUNNING_CHARS = 40
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+TEXT_TAGS = frozenset("p blockquote pre li dd".split())
 MOSTLY_LINKS = 0.6
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>?|[^<]+|<", re.S)
@@ -64,8 +74,8 @@ class Page:
     """Tag paths of a page and the blocks of text on them, in page order."""
 
     def __init__(self, source: str):
-        # For each path: the path above it, whether it can be content, its depth.
-        self.parent, self.content, self.depth = [-1], [True], [0]
+        # For each path: the path above it, its tag, whether its tags can be content, whether its own element is suspected or has a telling name.
+        self.parent, self.tag, self.content, self.suspected, self.named = [-1], [""], [True], [False], [False]
         self._known: dict[tuple[int, str], int] = {}
         self.blocks: list[tuple[int, str, int]] = []
         self._words: list[str] = []
@@ -75,13 +85,20 @@ class Page:
         self._read(source)
 
     def _path(self, above: int, tag: str, attributes: str) -> int:
-        names = [p for m in _NAMES.finditer(attributes) for p in _NAME_PARTS.split((m[1] or m[2] or m[3] or "").lower()) if p]
-        key = above, f"{tag}.{'.'.join(names)}"
+        tokens = [t for m in _NAMES.finditer(attributes) for t in (m[1] or m[2] or m[3] or "").lower().split()]
+        names = [p for t in tokens for p in _NAME_PARTS.split(t) if p]
+        key = above, f"{tag}.{'.'.join(names)}.{any(t in NOT_CONTENT_NAMES for t in tokens)}"
         if key not in self._known:
-            self._known[key] = len(self.parent)
+            path = self._known[key] = len(self.parent)
+            judged = tag not in LANDMARKS
+            suspected = tag in FORMS or (judged and not NOT_CONTENT_NAMES.isdisjoint(tokens))
+            # The header of an article has its title.
+            barred = tag in NOT_CONTENT and not (tag == "header" and any(self.tag[p] == "article" for p in self._ancestors(above)))
             self.parent.append(above)
-            self.depth.append(self.depth[above] + 1)
-            self.content.append(self.content[above] and tag not in NOT_CONTENT and not NOT_CONTENT_NAMES.intersection(names))
+            self.tag.append(tag)
+            self.content.append(self.content[above] and not barred and not (suspected and tag in INLINE))
+            self.suspected.append(suspected and tag not in INLINE)
+            self.named.append(judged and not NOT_CONTENT_NAMES.isdisjoint(names))
         return self._known[key]
 
     def _flush(self) -> None:
@@ -126,7 +143,7 @@ class Page:
             if tag in RAW:
                 end = _RAW_END[tag].search(source, at)
                 at = end.start() if end else len(source)
-                if tag not in INLINE and tag not in ("button", "select", "svg", "math"):
+                if tag not in INLINE and tag not in ("button", "select", "svg", "annotation", "annotation-xml"):
                     self._flush()
                 continue
             if tag not in INLINE:
@@ -161,26 +178,73 @@ class Page:
             yield path
             path = self.parent[path]
 
+    def _judge(self) -> None:
+        """Sum up the paths; find which are left out and which have a telling name; leave out blocks accordingly."""
+        n = len(self.parent)
+        self.chars, self.links, self.marks, self.nodes = [0] * n, [0] * n, [0] * n, [0] * n
+        for path, text, links in self.blocks:
+            self.chars[path] += len(text)
+            self.links[path] += min(links, len(text))
+            self.marks[path] += len(PUNCTUATION.findall(text))
+            self.nodes[path] += 1
+        below = self._summed([c - k for c, k in zip(self.chars, self.links, strict=True)])
+        most = [2 * b > below[0] for b in below]
+        nearest, running = [0] * n, [0] * n
+        for path in range(1, n):
+            nearest[path] = path if self.suspected[path] else nearest[self.parent[path]]
+        for path in range(n):
+            if self._running(path):
+                running[nearest[path]] += self.chars[path]
+        elsewhere = running[0]
+        landmarks = [p for p in range(n) if self.tag[p] in ("article", "main") and below[p] and not nearest[p]]
+        out, self.hinted = [False] * n, [False] * n
+        for path in range(1, n):
+            above = self.parent[path]
+            out[path] = out[above]
+            if self.suspected[path] and not out[path]:
+                if most[path] and 4 * elsewhere <= below[path] and set(landmarks) <= set(self._ancestors(path)):
+                    elsewhere += running[path]
+                else:
+                    out[path] = True
+            self.hinted[path] = self.hinted[above] or (self.named[path] and not most[path])
+        self.blocks = [b for b in self.blocks if not out[b[0]]]
+        for path in range(n):
+            if out[path]:
+                self.chars[path] = self.links[path] = self.marks[path] = self.nodes[path] = 0
+
+    def _summed(self, values: list[int]) -> list[int]:
+        """Of each path, the sum over it and all paths below."""
+        total = list(values)
+        for path in range(len(total) - 1, 0, -1):
+            total[self.parent[path]] += total[path]
+        return total
+
+    def _running(self, path: int) -> bool:
+        return self.marks[path] >= self.nodes[path] > 0 and self.chars[path] - self.links[path] >= RUNNING_CHARS * self.nodes[path]
+
+    def _content_like(self, path: int) -> bool:
+        """Whether text on the path counts as content outside the container: a heading, sentences or running text."""
+        if not self.nodes[path] or self.hinted[path] or self.links[path] > MOSTLY_LINKS * self.chars[path]:
+            return False
+        return self.tag[path] in HEADINGS or (self.tag[path] in TEXT_TAGS and self.marks[path] >= self.nodes[path]) or self._running(path)
+
     def scores(self) -> dict[int, float]:
         """Fused and smoothed ratio of each path, in the order in which the page has them."""
-        length, punctuation, nodes = {}, {}, {}
-        for path, text, links in self.blocks:
-            length[path] = length.get(path, 0) + max(len(text) - links, 0)
-            punctuation[path] = punctuation.get(path, 0) + len(PUNCTUATION.findall(text))
-            nodes[path] = nodes.get(path, 0) + 1
-        order = list(nodes)
-        ratios = [(length[p] / nodes[p], (1 + punctuation[p]) / nodes[p]) for p in order]
+        order = list(dict.fromkeys(path for path, _, _ in self.blocks))
+        length = {p: self.chars[p] - self.links[p] for p in order}
+        ratios = [(length[p] / self.nodes[p], (1 + self.marks[p]) / self.nodes[p]) for p in order]
         fused = {}
         for i, path in enumerate(order):
             near = [(w, ratios[j]) for w, j in zip(WEIGHTS, (i - 1, i, i + 1), strict=True) if 0 <= j < len(order)]
             total = sum(w for w, _ in near)
             by_text, by_mark = (sum(w * r[k] for w, r in near) / total for k in (0, 1))
             # Smoothing must not lift a path without text of its own, so its share of the page's text counts too.
-            fused[path] = (by_text * by_mark) ** 0.5 * length[path]
+            fused[path] = (by_text * by_mark) ** 0.5 * length[path] * (NAME_WEIGHT if self.hinted[path] else 1)
         return fused
 
     def main_text(self) -> str:
         """The content blocks joined by line ends; empty if there are none."""
+        self._judge()
         if not self.blocks:
             return ""
         fused = self.scores()
@@ -188,21 +252,19 @@ class Page:
         mean = sum(values) / len(values)
         spread = (sum((v - mean) ** 2 for v in values) / len(values)) ** 0.5
         threshold = min(mean + SPREAD * spread, max(values))
-        chosen = [p for p in fused if fused[p] >= threshold]
+        chosen = {p for p in fused if fused[p] >= threshold}
         # The deepest path above all chosen ones, a block's own element left out.
-        common = list(self._ancestors(self.parent[chosen[0]]))
-        for path in chosen[1:]:
+        first, *others = chosen
+        common = list(self._ancestors(self.parent[first]))
+        for path in others:
             other = set(self._ancestors(self.parent[path]))
             common = [p for p in common if p in other]
         container = common[0] if common else 0
         inside = [False] * len(self.parent)
         for path, above in enumerate(self.parent):
             inside[path] = path == container or (above >= 0 and inside[above])
-        chars, links = {}, {}
-        for path, text, linked in self.blocks:
-            chars[path] = chars.get(path, 0) + len(text)
-            links[path] = links.get(path, 0) + linked
-        return "\n".join(t for p, t, _ in self.blocks if inside[p] and links[p] <= MOSTLY_LINKS * chars[p])
+        kept = {p for p in fused if inside[p] and (not self.hinted[p] or p in chosen or self._running(p))}
+        return "\n".join(t for p, t, _ in self.blocks if p in kept and self.links[p] <= MOSTLY_LINKS * self.chars[p])
 
 
 def main_text(source: str | None) -> str:

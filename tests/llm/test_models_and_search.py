@@ -219,6 +219,28 @@ def test_page_cases(source, expected):
     assert html_text.main_text(source) == expected
 
 
+LINES = ["It was a bright cold day, and the clocks were striking thirteen.", "Nobody in the town had heard of it, or so they said; not one."]
+TEXT = "".join(f"<p>{x}</p>" for x in LINES)
+MENU = '<nav><a href="/">Home</a></nav><div class="ad">Buy this now, it is cheap.</div><div class="comments"><p>I think so too, and I do say it.</p></div>'
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        f'<body class="no-sidebar">{MENU}{TEXT}', f'<html class="skin-vector-search-vue"><body class="content-sidebar header-full-width has-comments">{MENU}{TEXT}',
+        f'{MENU}<div class="article-notice-free">{TEXT}</div>', f'{MENU}<article class="related-none">{TEXT}</article>', f'{MENU}<main class="search">{TEXT}</main>',
+        f"<body><form action=x>{MENU}{TEXT}</form>", f'<body><div class="widget">{MENU}<div>{TEXT}</div></div>', f'{MENU}<article><header class="entry-header">{TEXT}</header></article>',
+        f'<div class="promo-box"><p>Buy now.</p></div>{MENU}<article>{TEXT}<div class="social-share">Share it</div></article>',
+    ],
+)
+def test_names_of_layouts_do_not_hide_articles(source):
+    assert html_text.main_text(source) == "\n".join(LINES)
+
+
+def test_formulas_are_text():
+    assert html_text.main_text("<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math>, as said.</p>") == "So x=1, as said."
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     random = np.random.default_rng(8)
