@@ -5,8 +5,10 @@ path, down to the block element, the page's text length and punctuation are adde
 number of nodes on it: running text has long, punctuated nodes, menus and notices short ones without
 punctuation. Both ratios are smoothed along the page with their neighbouring paths, fused into one score
 and compared with a threshold that follows from the spread of the page's scores. The paths above it show
-where the content is: their common container. Blocks of that container are the text, short ones and
-headings among them, but for paths that are links in the main.
+where the content is: their common container, widened to the article or main element it is in. Outside
+one, and between articles, neighbours of the container that are content by their paths (headings,
+sentences, running text) for the larger part of their text belong to it too, level by level. Blocks of
+all these are the text, short ones and headings among them, but for paths that are links in the main.
 
 Menus, headers of the page, footers, sidebars, dialogs, scripts and styles take no part by their tag. An
 element is suspected if it is a form or has a class, id or role that as a whole names a part that is not
@@ -19,7 +21,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -212,6 +214,38 @@ class Page:
             if out[path]:
                 self.chars[path] = self.links[path] = self.marks[path] = self.nodes[path] = 0
 
+    def _widened(self, container: int) -> list[bool]:
+        """Which paths are inside the container, the article it is in, or neighbours that are content."""
+        n = len(self.parent)
+        at = next((p for p in self._ancestors(container) if self.tag[p] in ("article", "main")), container)
+        inside = self._below({at})
+        landmark = [p for p in self._ancestors(at) if self.tag[p] == "main"]
+        top = landmark[-1] if landmark else 0
+        content = self._summed([self.chars[p] if self._content_like(p) else 0 for p in range(n)])
+        text = self._summed(self.chars)
+        bare = self.tag[at] in ("article", "main") and not landmark
+        children = defaultdict(list)
+        for path in range(1, n):
+            children[self.parent[path]].append(path)
+        added = {at}
+        while at != top:
+            above = self.parent[at]
+            for path in children[above]:
+                # Next to an article outside of any main element only other articles go on with it.
+                if path != at and 2 * content[path] > text[path] and (not bare or self.tag[path] == "article"):
+                    added.add(path)
+            if self._content_like(above) and not bare:
+                inside[above] = True
+            at = above
+        return [i or j for i, j in zip(inside, self._below(added), strict=True)]
+
+    def _below(self, roots: set[int]) -> list[bool]:
+        """Whether a path is one of the given or below one."""
+        inside = [False] * len(self.parent)
+        for path, above in enumerate(self.parent):
+            inside[path] = path in roots or (above >= 0 and inside[above])
+        return inside
+
     def _summed(self, values: list[int]) -> list[int]:
         """Of each path, the sum over it and all paths below."""
         total = list(values)
@@ -260,9 +294,7 @@ class Page:
             other = set(self._ancestors(self.parent[path]))
             common = [p for p in common if p in other]
         container = common[0] if common else 0
-        inside = [False] * len(self.parent)
-        for path, above in enumerate(self.parent):
-            inside[path] = path == container or (above >= 0 and inside[above])
+        inside = self._widened(container)
         kept = {p for p in fused if inside[p] and (not self.hinted[p] or p in chosen or self._running(p))}
         return "\n".join(t for p, t, _ in self.blocks if p in kept and self.links[p] <= MOSTLY_LINKS * self.chars[p])
 

@@ -237,6 +237,23 @@ def test_names_of_layouts_do_not_hide_articles(source):
     assert html_text.main_text(source) == "\n".join(LINES)
 
 
+LONG = "".join(f"<p>{x}</p>" for x in LINES * 4)
+
+
+@pytest.mark.parametrize(
+    ("source", "expected"),
+    [
+        (f'{MENU}<article><h1>Title</h1><div class="lead"><p>Short lead.</p></div><div class="entry">{LONG}</div></article>', ["Title", "Short lead.", *LINES * 4]),
+        (f'{MENU}<div id="post"><h1>Title</h1><div class="lead"><p>Short lead.</p></div><div class="entry">{LONG}</div><ul><li><a href=x>More</a></ul></div>', ["Title", "Short lead.", *LINES * 4]),
+        (f'{MENU}<main><section class="a">{TEXT}</section><section class="b">{LONG}</section><section class="c"><p>The end.</p></section></main>', [*LINES * 5, "The end."]),
+        (f'{MENU}<div><h1>Title</h1></div><div class="a">{TEXT}</div><div class="b">{LONG}</div><div class="list"><h3>More</h3><a href=x>Some other page of it</a></div>', ["Title", *LINES * 5]),
+        (f'{MENU}<div><article class="a">{LONG}</article><article class="b">{TEXT}</article><div class="c"><p>All rights are kept.</p></div></div>', LINES * 5),
+    ],
+)
+def test_titles_and_sections_beside_the_longest_text_are_kept(source, expected):
+    assert html_text.main_text(source) == "\n".join(expected)
+
+
 def test_formulas_are_text():
     assert html_text.main_text("<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math>, as said.</p>") == "So x=1, as said."
 
