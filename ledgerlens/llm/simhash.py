@@ -268,7 +268,11 @@ def representatives(df: DataFrame, radius: int = RADIUS, id_col: str = "doc_id",
     key = F.struct(df[id_col].alias("id"), F.xxhash64(df[text_col]).alias("h"))
     keyed = df.select(key.alias("id"), df[text_col].alias("text"))
     prints = materialize(fingerprints(keyed, "id", "text").toDF("id", "fingerprint"), "simhash")
-    found = components(link(prints, radius))
+    return first_of_groups(df, prints, components(link(prints, radius)), id_col, text_col)
+
+
+def first_of_groups(df: DataFrame, prints: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The first row of each component, given the ``fingerprint`` of each ``id``, a struct of id and hash of the text."""
     grouped = prints.join(found, prints["fingerprint"] == found["vertex"], "left").select("id", F.coalesce("component", "fingerprint").alias("component"))
     # Structs compare by their fields in order, and a null id before all others.
     kept = grouped.groupBy("component").agg(F.min("id").alias("id")).select("id.*").toDF("_id", "_h")
