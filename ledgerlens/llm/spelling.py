@@ -48,7 +48,7 @@ PACK = 2_048
 CELLS = 1 << 22
 HELD_WORDS = 200_000
 # Vocabularies up to this many words use four classes of letters, then one more for each factor of three.
-FEW_WORDS = 1 << 16
+FEW_WORDS = 1 << 14
 
 
 def letter_runs(text: str | None) -> list[bytes]:
@@ -173,7 +173,7 @@ def near_in_blocks(home: _Words, other: _Words) -> tuple[np.ndarray, np.ndarray]
         shorter = (length - other.lengths[begin : begin + step]).astype(kind)
         right = np.column_stack([y, np.ones(len(y), kind), (y * y).sum(axis=1) + shorter]).astype(kind)
         # Squared distance, plus one where the other word is shorter: one edit makes two at most.
-        i, j = np.nonzero(left @ right.T <= 2)
+        i, j = np.divmod(np.flatnonzero(left @ right.T <= 2), len(y))
         if home is other:
             i, j = i[i < j + begin], j[i < j + begin]
         j = j + begin
