@@ -101,7 +101,7 @@ def blocks(df: DataFrame, id_col: str, text_col: str, block_bytes: int | None =
     rows = df.select(
         df[id_col].alias("id"),
         F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"),
-        *([F.struct(F.lit(True).alias("_"), *[df[c] for c in df.columns if c not in (id_col, text_col)]).alias("rest")] if rest else []),
+        *([F.struct(*([df[c] for c in df.columns if c not in (id_col, text_col)] or [F.lit(True)])).alias("rest")] if rest else []),
     )
     total = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     count = max(1, math.ceil(total / (block_bytes or BLOCK_BYTES)))

@@ -89,17 +89,17 @@ def place(df: DataFrame, tree: Sequence[Leaf], key_col: str) -> DataFrame:
     a task runs again; slots are counted per written partition, and each partition's count is added.
     """
     kept = [c for c in df.columns if c.lower() not in ("shard", "slot")]
-    placed = materialize(
-        df.select(*kept, shard_of(df[key_col], tree).alias("shard"), F.monotonically_increasing_id().alias("_at")), "shards"
-    )
-    part = F.shiftright("_at", _PARTITION_SHIFT)
-    counts = placed.groupBy("shard", part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("_part", "shard").orderBy("_at")
-    numbered = placed.withColumn("_part", part).withColumn("_in_part", F.row_number().over(within) - 1)
-    slot = (F.col("_in_part") + F.col("_before")).cast("long")
-    return numbered.join(offsets, ["_part", "shard"]).select(*kept, "shard", slot.alias("slot"))
+    # The caller's columns travel in one struct, so none of their names can clash.
+    row = F.struct(F.lit(True).alias("kept"), *kept).alias("row")
+    placed = materialize(df.select(row, shard_of(df[key_col], tree).alias("shard"), F.monotonically_increasing_id().alias("at")), "shards")
+    part = F.shiftright("at", _PARTITION_SHIFT)
+    counts = placed.groupBy("shard", part.alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+    earlier = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("shard", "part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"))
+    within = Window.partitionBy("part", "shard").orderBy("at")
+    numbered = placed.withColumn("part", part).withColumn("in_part", F.row_number().over(within) - 1)
+    slot = (F.col("in_part") + F.col("before")).cast("long")
+    return numbered.join(offsets, ["part", "shard"]).select(*[F.col("row")[c].alias(c) for c in kept], "shard", slot.alias("slot"))
 
 
 def digest(df: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

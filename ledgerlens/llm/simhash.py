@@ -275,7 +275,8 @@ def first_of_groups(df: DataFrame, prints: DataFrame, found: DataFrame, id_col:
     """The first row of each component, given the ``fingerprint`` of each ``id``, a struct of id and hash of the text."""
     grouped = prints.join(found, prints["fingerprint"] == found["vertex"], "left").select("id", F.coalesce("component", "fingerprint").alias("component"))
     # Structs compare by their fields in order, and a null id before all others.
-    kept = grouped.groupBy("component").agg(F.min("id").alias("id")).select("id.*").toDF("_id", "_h")
-    rows = df.withColumn("_hash", F.xxhash64(df[text_col]))
-    same = df[id_col].eqNullSafe(kept["_id"]) & (rows["_hash"] == kept["_h"])
-    return rows.join(kept, same, "left_semi").dropDuplicates([id_col, "_hash"]).select(*df.columns)
+    kept = grouped.groupBy("component").agg(F.min("id").alias("id")).select(F.col("id.id").alias("k"), F.col("id.h").alias("h"))
+    # The caller's columns travel in one struct, so none of their names can clash.
+    rows = df.select(df[id_col].alias("k"), F.xxhash64(df[text_col]).alias("h"), F.struct(*[df[c] for c in df.columns]).alias("row"))
+    same = rows["k"].eqNullSafe(kept["k"]) & (rows["h"] == kept["h"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["k", "h"]).select("row.*")

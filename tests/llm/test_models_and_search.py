@@ -300,32 +300,6 @@ def test_no_labels(labelled):
     assert toxicity.predictions(docs.filter("false"), labels).collect() == []
 
 
-def test_near_copies_of_five_word_shingles(spark):
-    random = np.random.default_rng(11)
-    texts = [(500, None), (501, ""), (502, "A few words"), (503, "a few Words")]
-    for base in range(12):
-        own = [f"w{x}" for x in random.integers(0, 5000, 150)]
-        for copy in range(8):
-            edited = list(own)
-            for at in random.integers(0, 150, copy // 2 if base % 2 else copy).tolist():
-                edited[at] = f"x{random.integers(0, 5000)}"
-            texts.append((base * 8 + copy, " ".join(edited)))
-    sets = {}
-    for i, t in texts:
-        words = (t or "").lower().split()
-        sets[i] = {tuple(words[k : k + 5]) for k in range(max(len(words) - 4, 1))}
-    group = {i: i for i in sets}
-    for i in sets:
-        for j in sets:
-            if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
-                low, high = sorted((group[i], group[j]))
-                group = {d: low if g == high else g for d, g in group.items()}
-    docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in texts], "doc_id bigint, text string, n_chars int")
-    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
-    assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(group.values()))
-
-
 def test_pipeline(spark):
     from .test_text_operators import deduplicated, linked, print_of
 
