@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import credit_label, present, subscribed_label
 from ..schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from ..session import materialize
+from .positions import number_rows
 
 SPLIT_SEED = 42
 
@@ -35,6 +37,29 @@ def category_indexer(columns: Sequence[str]) -> StringIndexer:
     )
 
 
+def category_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, label, position)``: the categories of each column by falling frequency, of equals by name, from 0.
+
+    The same numbering as ``category_indexer`` gives, as a stored table: labels are counted with partial aggregates and
+    numbered over range partitions, so any number of them is fine and none reaches the driver. Nulls are no category.
+    """
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    counted = texts.unpivot([], list(columns), "column", "label").filter("label IS NOT NULL").groupBy("column", "label").agg(F.count(F.lit(1)).alias("n"))
+    ranked = number_rows(counted.withColumn("less", -F.col("n")), ["less", "label"], ["column"], "position")
+    return materialize(ranked.select("column", "label", (F.col("position") - 1).alias("position")), "categories")
+
+
+def index_categories(df: DataFrame, table: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows with ``<column>_idx``, a double; unseen labels and nulls get the number of categories, as with ``handleInvalid="keep"``."""
+    for c in columns:
+        own = table.filter(F.col("column") == c)
+        unseen = own.agg(F.count(F.lit(1)).alias("n")).scalar()
+        named = own.select(F.col("label").alias("_label"), F.col("position").alias("_position"))
+        joined = df.join(named, df[c].cast("string") == named["_label"], "left")
+        df = joined.select(*[df[x] for x in df.columns], F.coalesce("_position", unseen).cast("double").alias(f"{c}_idx"))
+    return df
+
+
 def one_hot_encoder(columns: Sequence[str]) -> OneHotEncoder:
     return OneHotEncoder(inputCols=[f"{c}_idx" for c in columns], outputCols=[f"{c}_ohe" for c in columns])
 

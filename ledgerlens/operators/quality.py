@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import shorten
+from ..session import materialize
 
 DUPLICATES = "duplicate rows"
 ROWS = "rows"
@@ -23,6 +24,45 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     return _copies(df).agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
+def _digested(df: DataFrame) -> DataFrame:
+    """Rows with a 128-bit digest of all columns; equal rows have equal digests."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    # Nulls do not enter a hash, so the second half is taken over marks of them as well, in reverse.
+    marks = [c.isNull() for c in reversed(columns)]
+    return df.select(F.xxhash64(*columns).alias("_d1"), F.xxhash64(*marks, *reversed(columns), F.lit(1)).alias("_d2"), F.struct(*columns).alias("_row"))
+
+
+def _repeated_digests(digested: DataFrame) -> DataFrame:
+    """Digests that occur more than once: 16 bytes a row are counted, and what repeats is stored."""
+    counted = digested.groupBy("_d1", "_d2").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    return materialize(counted.select("_d1", "_d2"), "repeated-digests")
+
+
+def digest_copies(df: DataFrame) -> DataFrame:
+    """Rows that occur more than once, each with the number of times as ``_copies``.
+
+    Digests are counted first, and whole rows are compared only where a digest repeats, so of a wide table
+    little more than the repeated rows is shuffled. The repeated digests are stored: the planner broadcasts them if
+    they are few, and otherwise joins on the digest.
+    """
+    digested = _digested(df)
+    suspects = digested.join(_repeated_digests(digested), ["_d1", "_d2"], "left_semi").select("_row.*")
+    return _copies(suspects).filter("_copies > 1")
+
+
+def duplicate_count_by_digest(df: DataFrame) -> DataFrame:
+    """``duplicate_count`` with digests first."""
+    return digest_copies(df).agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
+
+
+def distinct_by_digest(df: DataFrame) -> DataFrame:
+    """``dropDuplicates()`` with digests first: rows whose digest is unique are not shuffled where repeats are few."""
+    digested = _digested(df)
+    repeated = _repeated_digests(digested)
+    unique = digested.join(repeated, ["_d1", "_d2"], "left_anti").select("_row.*")
+    return unique.unionByName(digested.join(repeated, ["_d1", "_d2"], "left_semi").select("_row.*").dropDuplicates())
+
+
 def quality_report(df: DataFrame, checks: Mapping[str, Column], duplicates: bool = False) -> DataFrame:
     """One row ``(check, count)`` per named condition, from a single pass over the data.
 

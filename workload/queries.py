@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import columns as C
-from ledgerlens.operators import cleaning, customers, features, metrics, models, quality, segments, stats
+from ledgerlens.operators import cleaning, customers, features, metrics, models, quality, segments, selection, sketches, stats
 from ledgerlens.plans import gold as gold_plan
 from ledgerlens.plans import pipeline, reports
 from ledgerlens.schemas import BANK_SCHEMA, RETAIL_REQUIRED, RFM_METRICS
@@ -26,6 +26,8 @@ ORACLES: dict[str, str] = {}
 
 KEY = ["c_custkey"]
 BANK_COLUMNS = BANK_SCHEMA.fieldNames()
+PROBABILITIES = [0.5, 0.95, 0.99]
+CLUSTERS_SQL = ", clustered AS (SELECT *, CAST(CustomerID % 4 AS INTEGER) AS segment_cluster FROM rfm)\n"
 
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
@@ -454,6 +456,69 @@ def count_distinct(spark, d):
     return sales(spark, d).groupBy("CustomerID").agg(F.count_distinct("InvoiceNo").alias("invoices"))
 
 
+@query(
+    "frequency_sketch",
+    sql(
+        """
+, long AS (
+  SELECT CustomerID, 'InvoiceNo' AS "column", InvoiceNo AS v FROM clean
+  UNION ALL SELECT CustomerID, 'StockCode', StockCode FROM clean
+)
+SELECT CustomerID, "column", count(DISTINCT v) AS exact, true AS within, true AS bounded FROM long GROUP BY ALL
+""",
+        "clean",
+    ),
+)
+def frequency_sketch(spark, d):
+    """Distinct invoices and articles per customer from stored sketches per customer and month, beside the exact counts."""
+    lines = sales(spark, d, "InvoiceDate", "StockCode")
+    stored = materialize(sketches.customer_month_sketches(lines), "sketches")
+    size = stored.groupBy("CustomerID", "column").agg(F.max(F.octet_length(sketches.SKETCH)).alias("size"))
+    made = sketches.united(stored, ["CustomerID"])
+    exact = _exact_distinct(lines, ["CustomerID"])
+    joined = made.join(exact, ["CustomerID", "column"], "full").join(size, ["CustomerID", "column"], "left")
+    bounded = (F.col("size") <= sketches.distinct_sketch_bytes()).alias("bounded")
+    return joined.select("CustomerID", "column", "exact", _within(), bounded)
+
+
+def _exact_distinct(lines: DataFrame, by: list[str]) -> DataFrame:
+    long = lines.select(*by, "InvoiceNo", "StockCode").unpivot(by, ["InvoiceNo", "StockCode"], "column", "v")
+    return long.groupBy(*by, "column").agg(F.count_distinct("v").alias("exact"))
+
+
+def _within(errors: int = 4):
+    return F.coalesce(F.abs(F.col("estimate") - F.col("exact")) <= errors * sketches.distinct_error() * F.col("exact"), F.lit(False)).alias("within")
+
+
+@query(
+    "frequency_sketch_windows",
+    sql(
+        """
+, months AS (SELECT DISTINCT date_trunc('month', InvoiceTs) AS m FROM clean WHERE InvoiceTs IS NOT NULL),
+long AS (
+  SELECT InvoiceTs, 'InvoiceNo' AS "column", InvoiceNo AS v FROM clean
+  UNION ALL SELECT InvoiceTs, 'StockCode', StockCode FROM clean
+)
+SELECT strftime(m, '%Y-%m') AS month, "column", count(DISTINCT v) AS exact, true AS within
+FROM months JOIN long ON InvoiceTs >= m - INTERVAL 2 MONTH AND InvoiceTs < m + INTERVAL 1 MONTH
+GROUP BY ALL
+""",
+        "clean",
+    ),
+)
+def frequency_sketch_windows(spark, d):
+    """Three-month windows over the same stored sketches, half of which arrived later and were merged in."""
+    lines = materialize(sales(spark, d, "InvoiceDate", "StockCode"), "lines")
+    late = F.pmod(F.xxhash64("InvoiceNo", "StockCode"), F.lit(2)) == 1
+    first, second = (materialize(sketches.customer_month_sketches(part), "sketches") for part in (lines.filter(~late), lines.filter(late)))
+    stored = materialize(sketches.merged(first, second), "sketches")
+    made = sketches.rolling(stored, 3)
+    start = F.trunc(C.invoice_ts(), "month")
+    windows = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda k: sketches.month(F.add_months(start, k)))
+    exact = _exact_distinct(lines.withColumn("month", F.explode(windows)), ["month"])
+    return made.join(exact, ["month", "column"], "left").select("month", "column", "exact", _within())
+
+
 @query("rfm", sql("SELECT * REPLACE (round(Monetary, 2) AS Monetary) FROM rfm", "rfm"))
 def rfm_features(spark, d):
     return rounded(rfm(spark, d), 2, "Monetary")
@@ -602,6 +667,22 @@ def dq_duplicates(spark, d):
     return quality.duplicate_count(bank_raw(spark, d))
 
 
+@query(
+    "dq_duplicates_by_digest",
+    sql(
+        "SELECT (SELECT count(*) FROM bank) - (SELECT count(*) FROM (SELECT DISTINCT * FROM bank)) AS duplicate_rows",
+        "bank",
+    ),
+)
+def dq_duplicates_by_digest(spark, d):
+    return quality.duplicate_count_by_digest(bank_raw(spark, d))
+
+
+@query("dedupe_rows_by_digest", sql("SELECT DISTINCT * FROM bank", "bank"))
+def dedupe_rows_by_digest(spark, d):
+    return quality.distinct_by_digest(bank_raw(spark, d))
+
+
 def _per_metric(template: str) -> str:
     metric_columns = {"Recency": "CAST(Recency AS DOUBLE)", "Frequency": "CAST(Frequency AS DOUBLE)", "Monetary": "Monetary"}
     return "\nUNION ALL\n".join(template.format(name=n, value=v) for n, v in metric_columns.items())
@@ -622,6 +703,95 @@ def quantiles(spark, d):
     return rounded(found, 6, "p50", "p95", "p97")
 
 
+@query(
+    "quantiles_sketch",
+    sql(
+        """
+, parts AS (SELECT Country AS part, UnitPrice, Revenue FROM clean UNION ALL SELECT 'all', UnitPrice, Revenue FROM clean
+            UNION ALL SELECT 'A-G', UnitPrice, Revenue FROM clean WHERE Country < 'H')
+SELECT part, c AS "column", p, count(*) AS n, true AS within
+FROM parts CROSS JOIN (VALUES ('UnitPrice'), ('Revenue')) AS cs(c)
+CROSS JOIN (VALUES (0.5::DOUBLE), (0.95::DOUBLE), (0.99::DOUBLE)) AS ps(p)
+GROUP BY ALL
+""",
+        "clean",
+    ),
+)
+def quantiles_sketch(spark, d):
+    """Quantiles per country and of unions of countries, from stored sketches per country; ranks are counted in the rows."""
+    lines = materialize(sales(spark, d, "Country").select("Country", "UnitPrice", "Revenue"), "lines")
+    stored = materialize(sketches.rank_sketches(lines, ["Country"], ["UnitPrice", "Revenue"]), "sketches")
+    subsets = {"all": F.lit(True), "A-G": F.col("Country") < "H"}
+    made = sketches.sketched_quantiles(stored.withColumnRenamed("Country", "part"), PROBABILITIES)
+    for name, chosen in subsets.items():
+        whole = sketches.merged_ranks(stored.filter(chosen).withColumn("part", F.lit(name)), ["part"])
+        made = made.unionByName(sketches.sketched_quantiles(whole, PROBABILITIES))
+    made = materialize(made, "quantiles")
+    parts = F.filter(F.array(F.col("Country"), *[F.when(c, F.lit(n)) for n, c in subsets.items()]), lambda x: x.isNotNull())
+    long = lines.withColumn("part", F.explode(parts)).unpivot(["part"], ["UnitPrice", "Revenue"], "column", "v")
+    below, upto = (F.sum(F.when(c, 1).otherwise(0)) / F.first("n") for c in (F.col("v") < F.col("value"), F.col("v") <= F.col("value")))
+    # Twice the error of 99 cases in 100 leaves about one in ten million outside.
+    error = 2 * sketches.rank_error()
+    within = (below - error <= F.col("p")) & (F.col("p") <= upto + error)
+    return long.join(made, ["part", "column"]).groupBy("part", "column", "p", "n").agg(within.alias("within"))
+
+
+@query(
+    "quantiles_by_cluster",
+    sql(
+        CLUSTERS_SQL
+        + """
+, long AS (
+  SELECT segment_cluster, 'Recency' AS metric, CAST(Recency AS DOUBLE) AS v FROM clustered
+  UNION ALL SELECT segment_cluster, 'Frequency', CAST(Frequency AS DOUBLE) FROM clustered
+  UNION ALL SELECT segment_cluster, 'Monetary', Monetary FROM clustered
+)
+SELECT segment_cluster, metric, count(*) AS n, round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.95), 6) AS p95
+FROM long GROUP BY ALL
+""",
+        "rfm",
+    ),
+)
+def quantiles_by_cluster(spark, d):
+    rows = materialize(_fixed_clusters(spark, d), "clusters")
+    return rounded(selection.quantiles_by(rows, ["segment_cluster"], RFM_METRICS, [0.5, 0.95]), 6, "p50", "p95")
+
+
+@query(
+    "line_quantiles_by_country",
+    sql(
+        """
+SELECT Country, 'Revenue' AS metric, count(*) AS n, round(quantile_cont(Revenue, 0.5), 6) AS p50,
+       round(quantile_cont(Revenue, 0.95), 6) AS p95
+FROM clean GROUP BY Country
+""",
+        "clean",
+    ),
+)
+def line_quantiles_by_country(spark, d):
+    lines = materialize(sales(spark, d, "Country").select("Country", "Revenue"), "lines")
+    return rounded(selection.quantiles_by(lines, ["Country"], ["Revenue"], [0.5, 0.95]), 6, "p50", "p95")
+
+
+@query(
+    "winsorize_by_cluster",
+    sql(
+        CLUSTERS_SQL
+        + """
+, caps AS (SELECT segment_cluster, quantile_cont(CAST(Frequency AS DOUBLE), 0.95) AS f, quantile_cont(Monetary, 0.95) AS m
+           FROM clustered GROUP BY segment_cluster)
+SELECT CustomerID, segment_cluster, least(CAST(Frequency AS DOUBLE), f) AS Frequency, round(least(Monetary, m), 6) AS Monetary
+FROM clustered JOIN caps USING (segment_cluster)
+""",
+        "rfm",
+    ),
+)
+def winsorize_by_cluster(spark, d):
+    rows = materialize(_fixed_clusters(spark, d), "clusters")
+    capped = selection.winsorize_by(rows, ["segment_cluster"], ["Frequency", "Monetary"])
+    return rounded(capped.select("CustomerID", "segment_cluster", "Frequency", "Monetary"), 6, "Monetary")
+
+
 @query(
     "winsorize",
     sql(
@@ -749,7 +919,6 @@ def _fixed_clusters(spark: SparkSession, d: str) -> DataFrame:
     return rfm(spark, d).withColumn("segment_cluster", (F.col("CustomerID") % 4).cast("int"))
 
 
-CLUSTERS_SQL = ", clustered AS (SELECT *, CAST(CustomerID % 4 AS INTEGER) AS segment_cluster FROM rfm)\n"
 
 
 @query(
@@ -1025,6 +1194,33 @@ def string_index(spark, d):
     return features.category_indexer(["job"]).fit(rows).transform(rows)
 
 
+@query(
+    "category_index",
+    sql(JOB_INDEX_SQL + "SELECT c_custkey, job, CAST(i AS DOUBLE) AS job_idx FROM bank_clean JOIN jobs USING (job)", "bank_clean"),
+)
+def category_index(spark, d):
+    rows = bank(spark, d, "job").select("c_custkey", "job")
+    return features.index_categories(rows, features.category_table(rows, ["job"]), ["job"])
+
+
+@query(
+    "article_index",
+    sql(
+        """
+, sizes AS (SELECT StockCode, count(*) AS n FROM clean GROUP BY StockCode),
+numbered AS (SELECT StockCode, row_number() OVER (ORDER BY n DESC, StockCode) - 1 AS i FROM sizes)
+SELECT InvoiceNo, StockCode, CAST(coalesce(i, (SELECT count(*) FROM sizes)) AS DOUBLE) AS StockCode_idx
+FROM retail LEFT JOIN numbered USING (StockCode)
+""",
+        "clean",
+    ),
+)
+def article_index(spark, d):
+    """Every article is a category: learned on clean lines, given to all, unseen ones kept apart."""
+    table = features.category_table(sales(spark, d, "StockCode"), ["StockCode"])
+    return features.index_categories(retail_raw(spark, d, ["InvoiceNo", "StockCode"]), table, ["StockCode"])
+
+
 @query(
     "one_hot",
     sql(
