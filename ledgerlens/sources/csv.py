@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +51,40 @@ def _header(reader, path: str) -> list[str]:
         raise
 
 
+def read_mixed_csv(spark: SparkSession, path: str, schema: StructType | str, sep: str = ",") -> DataFrame:
+    """Read a folder whose files have headers of their own: other columns, or the same in another order.
+
+    Files are grouped by header and each group is read by its own, in one scan; the groups are united by
+    name. Columns of the schema that a file lacks are null in its rows, others are left out. The headers are read off
+    the first lines in a job before that. A folder without files or with empty ones only gives no rows.
+    """
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    groups = [
+        typed(spark.read.option("header", True).option("sep", sep).option("enforceSchema", False).schema(_texts(spark, header, sep)).csv(files), schema)
+        for header, files in sorted(_files_by_header(spark, path).items())
+    ]
+    return reduce(DataFrame.unionByName, groups) if groups else spark.createDataFrame([], schema)
+
+
+def _files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files by their first line; as many names reach the driver as Spark lists there anyway."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    # A task reads a stretch of a file from its first line on.
+    firsts = lines.filter("file_block_start = 0").withColumn("at", F.monotonically_increasing_id())
+    firsts = firsts.groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
+    found = firsts.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files")).collect()
+    # The metadata column gives paths as they are in an address.
+    return {r.header: [unquote(f) for f in r.files] for r in found}
+
+
+def _texts(spark: SparkSession, header: str, sep: str) -> StructType:
+    """The columns a header line names, as text, read as Spark reads a header."""
+    line = spark.createDataFrame([(header,)], "value string")
+    count = line.select(F.size(F.split("value", f"\\Q{sep}\\E")).alias("n")).first()["n"]
+    parsed = line.select(F.from_csv("value", ", ".join(f"c{i} string" for i in range(count)), {"sep": sep}).alias("c")).first()["c"]
+    return StructType([StructField(name, StringType()) for name in parsed if name is not None])
+
+
 def _as_text(reader, columns: list[str]):
     """Read with exactly these columns, as text, and fail on a file whose header differs."""
     text = StructType([StructField(c, StringType()) for c in columns])
@@ -71,9 +108,12 @@ def stream_csv(
     directory: str,
     schema: StructType = RETAIL_SCHEMA,
     max_files: int | None = None,
+    file_column: str | None = None,
 ) -> DataFrame:
     """Follow a directory of CSV files; ``max_files`` bounds the size of a micro-batch.
 
+    ``file_column`` adds what names the file of a row: its path, size and time of change.
+
     The order of columns is that of the files present when the stream starts, or the schema's if there
     are none yet.
     """
@@ -81,4 +121,10 @@ def stream_csv(
     reader = _as_text(spark.readStream.option("header", True), header or schema.fieldNames())
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return typed(reader.csv(directory), schema)
+    rows = reader.csv(directory)
+    if file_column is None:
+        return typed(rows, schema)
+    changed = F.unix_millis("_metadata.file_modification_time").cast("string")
+    name = F.concat_ws("|", "_metadata.file_path", F.col("_metadata.file_size").cast("string"), changed)
+    named = rows.withColumn(file_column, name)
+    return typed(named, StructType([*schema, StructField(file_column, StringType())]))

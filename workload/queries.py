@@ -120,6 +120,25 @@ def scan_table(spark, d):
     return store.load("bronze_bank")
 
 
+@query(
+    "scan_csv_headers",
+    sql(
+        """
+SELECT CAST(age AS DOUBLE) AS age, job, CASE WHEN c_custkey % 2 = 0 THEN balance END AS balance,
+       CASE WHEN c_custkey % 2 = 1 THEN housing END AS housing, y
+FROM bank
+""",
+        "bank",
+    ),
+)
+def scan_csv_headers(spark, d):
+    """One folder, two headers: columns in another order, one that is missing, one that is new."""
+    path, rows = new_path(spark, "bank-csv"), bank_raw(spark, d)
+    csv.write_csv(rows.filter("c_custkey % 2 = 0").select("job", "age", "balance", "y"), path, sep=";", mode="append")
+    csv.write_csv(rows.filter("c_custkey % 2 = 1").select("y", "housing", "age", "job", "month"), path, sep=";", mode="append")
+    return csv.read_mixed_csv(spark, path, "age double, job string, balance double, housing string, y string", sep=";")
+
+
 @query(
     "optional_columns",
     sql(
@@ -154,6 +173,24 @@ def sink_partitioned(spark, d):
     return tables.read_table(spark, path)
 
 
+@query(
+    "sink_partition_rewrite",
+    sql(
+        """
+SELECT InvoiceNo, Quantity, UnitPrice, CustomerID, Revenue, Country FROM clean
+WHERE Country <> 'FRANCE' OR Quantity > 10
+""",
+        "clean",
+    ),
+)
+def sink_partition_rewrite(spark, d):
+    """One country is rewritten with some of its lines; the others stay as they are stored."""
+    path, lines = new_path(spark, "table"), sales(spark, d, "Country")
+    tables.overwrite_table(lines, path, partition_by="Country")
+    tables.overwrite_partitions(lines.filter("Country = 'FRANCE' AND Quantity > 10"), path)
+    return tables.read_table(spark, path)
+
+
 @query("sink_replace_schema", sql("SELECT * FROM bank_clean", "bank_clean"))
 def sink_replace_schema(spark, d):
     path = new_path(spark, "table")
@@ -1108,6 +1145,51 @@ def stream_replay(spark, d):
     return second.select(first.scalar().alias("rows_first"), "rows_second")
 
 
+@query(
+    "stream_replay_lost_checkpoint",
+    sql(
+        """
+SELECT count(*) FILTER (WHERE Country < 'H') AS rows_first, count(*) AS rows_second, count(*) AS rows_third,
+       round(sum(Quantity * UnitPrice), 2) AS revenue
+FROM retail
+""",
+        "retail",
+    ),
+)
+def stream_replay_lost_checkpoint(spark, d):
+    """Three drains with a checkpoint of their own each: one feed, then another file beside it, then nothing new."""
+    feed, target, lines = new_path(spark, "feed"), new_path(spark, "stream"), retail_raw(spark, d)
+    counts = []
+    for part in (lines.filter("Country < 'H'"), lines.filter("Country >= 'H'"), None):
+        if part is not None:
+            csv.write_csv(part.coalesce(1), feed, mode="append")
+        drained = ingest.ingest_once(spark, feed, target, checkpoint=new_path(spark, "checkpoint"))
+        counts.append(materialize(quality.row_count(drained), "count"))
+    first, second, third = (c.scalar() for c in counts)
+    revenue = F.round(F.sum("Revenue"), 2).alias("revenue")
+    return drained.agg(revenue).select(first.alias("rows_first"), second.alias("rows_second"), third.alias("rows_third"), "revenue")
+
+
+@query(
+    "stream_summary_kept",
+    sql(
+        """
+SELECT count(*) AS total_rows, CAST(sum(CAST(Quantity * UnitPrice AS DECIMAL(18, 2))) AS DOUBLE) AS total_revenue,
+       min(strptime(InvoiceDate, '%m/%d/%Y %H:%M')) AS earliest, max(strptime(InvoiceDate, '%m/%d/%Y %H:%M')) AS latest
+FROM retail
+""",
+        "retail",
+    ),
+)
+def stream_summary_kept(spark, d):
+    """The summary after two drains, from the stream's own state; lines are not stored."""
+    feed, target, lines = new_path(spark, "feed"), new_path(spark, "summary"), retail_raw(spark, d)
+    for part in (lines.filter("Country < 'H'"), lines.filter("Country >= 'H'")):
+        csv.write_csv(part, feed, mode="append")
+        kept = ingest.follow_summary(spark, feed, target)
+    return ntz(kept, "earliest", "latest")
+
+
 # Features --------------------------------------------------------------------------------------
 
 
