@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import columns as C
-from ledgerlens.operators import cleaning, customers, features, metrics, models, quality, segments, selection, sketches, stats
+from ledgerlens.operators import cleaning, customers, exact, features, metrics, model_tables, models, quality, segments, selection, sketches, stats
 from ledgerlens.plans import gold as gold_plan
 from ledgerlens.plans import pipeline, reports
 from ledgerlens.schemas import BANK_SCHEMA, RETAIL_REQUIRED, RFM_METRICS
@@ -493,6 +493,29 @@ def count_distinct(spark, d):
     return sales(spark, d).groupBy("CustomerID").agg(F.count_distinct("InvoiceNo").alias("invoices"))
 
 
+@query(
+    "exact_revenue",
+    sql(
+        """
+SELECT Country, CAST(sum(CAST(Revenue AS DECIMAL(18, 2))) AS DOUBLE) AS revenue,
+       CAST(sum(CAST(UnitPrice AS DECIMAL(18, 2))) AS DOUBLE) AS prices
+FROM clean GROUP BY Country
+""",
+        "clean",
+    ),
+)
+def exact_revenue(spark, d):
+    return exact.exact_sums(sales(spark, d, "Country"), ["Country"], {"revenue": "Revenue", "prices": "UnitPrice"})
+
+
+@query(
+    "exact_total",
+    sql("SELECT CAST(sum(CAST(Revenue AS DECIMAL(18, 2))) AS DOUBLE) AS revenue FROM clean", "clean"),
+)
+def exact_total(spark, d):
+    return exact.exact_sums(sales(spark, d), [], {"revenue": "Revenue"})
+
+
 @query(
     "frequency_sketch",
     sql(
@@ -1437,6 +1460,55 @@ def rf_importance(spark, d):
     return found.join(total).select("slot", "feature", (F.col("importance") >= 0).alias("not_negative"), "total")
 
 
+# How far a figure stated again may be from the model's own.
+AGAIN = 1e-9
+
+
+def _same_probabilities(spark: SparkSession, model, test: DataFrame, again: DataFrame, label: str) -> DataFrame:
+    scored = models.score(model, test, ["c_custkey", label])
+    both = scored.join(again.withColumnRenamed("probability_1", "again"), "c_custkey")
+    return both.select("c_custkey", label, (F.abs(F.col("probability_1") - F.col("again")) <= AGAIN).alias("same"))
+
+
+@query("rf_walk", sql(TEST_SQL + "SELECT c_custkey, label, true AS same FROM held", "bank_clean"))
+def rf_walk(spark, d):
+    train, test, columns = _subscription(spark, d)
+    model = models.fit_classifier(models.random_forest(), train, *columns)
+    return _same_probabilities(spark, model, test, model_tables.forest_probabilities(model, test, "c_custkey"), "label")
+
+
+@query("gbt_walk", sql(TEST_SQL + "SELECT c_custkey, credit_label, true AS same FROM held", "bank_clean"))
+def gbt_walk(spark, d):
+    table_ = features.credit_frame(stored_gold(spark, d))
+    train, test = features.train_test_split(table_, KEY)
+    model = models.fit_classifier(models.boosted_trees(), train, *features.credit_features(table_))
+    return _same_probabilities(spark, model, test, model_tables.boosted_probabilities(model, test, "c_custkey"), "credit_label")
+
+
+@query("lr_probabilities", sql(TEST_SQL + "SELECT c_custkey, label, true AS same FROM held", "bank_clean"))
+def lr_probabilities(spark, d):
+    train, test, columns = _subscription(spark, d)
+    model = models.fit_classifier(models.logistic_regression(), train, *columns)
+    table_ = model_tables.coefficients(model, train)
+    return _same_probabilities(spark, model, test, model_tables.logistic_probabilities(table_, model, test, "c_custkey"), "label")
+
+
+@query(
+    "lr_optimality",
+    sql(
+        SLOTS_SQL
+        + "SELECT slot, feature, true AS optimal FROM slots UNION ALL SELECT -1, '(intercept)', true",
+        "bank_clean",
+    ),
+)
+def lr_optimality(spark, d):
+    """Every coefficient is where the loss on the training rows has no slope."""
+    train, _, columns = _subscription(spark, d)
+    model = models.fit_classifier(models.logistic_regression(), train, *columns)
+    found = model_tables.optimality(model, train)
+    return found.select("slot", "feature", (F.abs(F.col("gradient")) <= 1e-4).alias("optimal"))
+
+
 @query(
     "top_importances",
     sql(
