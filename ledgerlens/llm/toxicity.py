@@ -4,9 +4,11 @@ A word is read byte by byte, each byte after the bytes of its word so far. Its p
 is the discounted count of the longer beginning in that class, plus what the discount freed times a
 backoff probability. The backoff leaves the class out of the context and so is *shared*: as in
 Kneser-Ney smoothing it counts in how many different places, here documents, a beginning was seen, over
-both classes. The discounts are in proportion to the size of the classes. An expression that is rare in
-both therefore gets the same probability in either, while a frequent one, or a new word on a stem that
-only one class uses, is told apart; bytes after a beginning that was never seen say nothing.
+both classes. The discounts are in proportion to the size of the classes. Where a class keeps nothing of a
+continuation, rare or never seen, its probability is what the context freed times the shared backoff; the backoff is
+the same in either class, so the evidence is the ratio of the freed shares, and the bytes after it say nothing. A
+count up to the discount is all freed, so such counts need not be stored: the evidence of every word is the
+same with and without them. The frequent expressions, and new words on a stem that only one class uses, are told apart.
 
 The evidence of a text is the difference of its two log-likelihoods, normalised by its length, and the
 evidence of those words that by themselves speak for toxicity. A logistic curve, fitted on labelled
@@ -72,7 +74,7 @@ class Model:
                 for k in (0, 1):
                     taken[k] += max(own[k] - self.discounts[k], 0.0)
         self.freed = {b: (self.counts[b][0] - taken[0], self.counts[b][1] - taken[1]) for b, taken in kept.items() if b in self.counts}
-        self._words: dict[bytes, float] = {}
+        self._words = _Evidence(self)
         return self
 
     def word(self, word: bytes) -> float:
@@ -82,10 +84,13 @@ class Model:
         before, context = counts[b""], b""
         for beginning in beginnings(word):
             own = counts.get(beginning)
+            freed = self.freed.get(context)
             if own is None:
+                for k in (0, 1):
+                    if freed and before[k]:
+                        likelihood[k] *= freed[k] / before[k]
                 break
             shared = (own[0] + own[1]) / (before[0] + before[1])
-            freed = self.freed[context]
             for k in (0, 1):
                 if before[k]:
                     likelihood[k] *= (max(own[k] - discounts[k], 0.0) + freed[k] * shared) / before[k] / shared
@@ -97,17 +102,7 @@ class Model:
         words = lower_words_of(text)
         if not words:
             return 0.0, 0.0
-        if len(self._words) > KEPT_WORDS:
-            self._words.clear()
-        known, values = self._words, []
-        for w in words:
-            v = known.get(w)
-            if v is None:
-                v = self.word(w)
-                if len(w) <= 64:
-                    known[w] = v
-            values.append(v)
-        values = np.array(values)
+        values = np.fromiter(map(self._words.__getitem__, words), float, len(words))
         return float(values.mean()), float(np.log1p(values[values > STRONG].sum()))
 
     def score(self, text: str | None) -> float:
@@ -116,6 +111,26 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(w0 + w1 * a + w2 * b, -500, 500))))
 
 
+class _Evidence(dict):
+    """Evidence of each word met, forgotten when there are very many."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, word: bytes) -> float:
+        v = self.model.word(word)
+        if len(word) <= 64:
+            if len(self) >= KEPT_WORDS:
+                self.clear()
+            self[word] = v
+        return v
+
+    def __reduce__(self):
+        # A shipped model starts without words.
+        return _Evidence, (self.model,)
+
+
 def fit_curve(rows: list[tuple[float, float, int, float]]) -> tuple[float, ...]:
     """Weighted logistic regression with a small ridge by Newton steps; without both classes a flat curve at their share.
 
@@ -177,8 +192,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     counted = sampled.filter(~for_curve).select("text", "toxic").mapInArrow(count, schema)
     counted = counted.groupBy("beginning").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
     model = Model()
-    # Neither class keeps anything of a count up to the discount, so those never tell the classes apart.
-    for row in counted.filter(f"ordinary + toxic > {DISCOUNT}").toLocalIterator():
+    # Neither class keeps anything of a count up to the discount; ``word`` gives such a beginning what its context freed.
+    # Single bytes stay, as their counts add up to the size of a class.
+    for row in counted.filter(f"ordinary + toxic > {DISCOUNT} OR octet_length(beginning) = 1").toLocalIterator():
         model.counts[bytes(row.beginning)] = (row.ordinary, row.toxic)
     model.prepare()
     shipped = docs.sparkSession.sparkContext.broadcast(model)

@@ -287,6 +287,56 @@ def test_toxicity_on_held_out_rows(labelled):
     assert {r.doc_id for r in left.collect()} == {i for i, r in got.items() if r.predicted == 0}
 
 
+def _counted(rows):
+    """Beginnings of each document's distinct words, by class."""
+    counts = {}
+    for text, label in rows:
+        for word in set(text.encode().lower().split()):
+            for beginning in toxicity.beginnings(word):
+                own = counts.setdefault(beginning, [0, 0])
+                own[label] += 1
+    return {b: tuple(n) for b, n in counts.items()}
+
+
+def _plain_evidence(counts, word):
+    """Log ratio of the two Kneser-Ney likelihoods, byte by byte, from all counts."""
+    totals = [sum(n[k] for b, n in counts.items() if len(b) == 1) for k in (0, 1)]
+    discounts = [toxicity.DISCOUNT * max(n, 1) / max(min(totals), 1) for n in totals]
+    evidence, context = 0.0, b""
+    for beginning in toxicity.beginnings(word):
+        children = [n for b, n in counts.items() if len(b) == len(context) + 1 and b.startswith(context)]
+        if not children:
+            break
+        both = sum(a + b for a, b in children)
+        own = counts.get(beginning)
+        # The backoff of what was never seen is some probability, the same in both classes.
+        shared = sum(own) / both if own else 1 / (both + 1)
+        for k, sign in ((0, -1), (1, 1)):
+            n = sum(c[k] for c in children)
+            if n:
+                freed = sum(min(c[k], discounts[k]) for c in children)
+                kept = max(own[k] - discounts[k], 0.0) if own else 0.0
+                evidence += sign * np.log((kept + freed * shared) / n / shared)
+        if own is None:
+            break
+        context = beginning
+    return evidence
+
+
+def test_evidence_is_that_of_all_counts(labelled):
+    docs, labels = labelled
+    known = {r.doc_id: r.toxic for r in labels.collect()}
+    rows = [(r.text, known[r.doc_id]) for r in docs.collect() if r.text and known.get(r.doc_id) in (0, 1)][:150]
+    counts = _counted(rows)
+    whole = toxicity.Model(dict(counts)).prepare()
+    cut = toxicity.Model({b: n for b, n in counts.items() if sum(n) > toxicity.DISCOUNT or len(b) == 1}).prepare()
+    words = sorted({w for t, _ in rows for w in t.encode().lower().split()})[::7] + [b"never", b"zzz", b"", b"\xc3\xa9"]
+    assert len(cut.counts) < len(whole.counts)
+    for word in words:
+        assert whole.word(word) == pytest.approx(_plain_evidence(counts, word), abs=1e-9)
+        assert cut.word(word) == pytest.approx(whole.word(word), abs=1e-9)
+
+
 def test_held_out_labels_do_not_matter(labelled):
     docs, labels = labelled
     flipped = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
