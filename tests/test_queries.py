@@ -41,3 +41,16 @@ def test_entry_contract(spark):
     assert driver.entry(spark).columns == ["CustomerID", "Recency", "Frequency", "Monetary"]
     assert driver.queries().items() >= QUERIES.items()
     assert driver.oracle_sql().items() >= ORACLES.items()
+
+
+@pytest.mark.parametrize("missing", ["ledgerlens.llm", "ledgerlens.llm.queries", "corpus_pipeline"])
+def test_entry_without_the_optional_part(monkeypatch, missing):
+    import sys
+
+    import __spark_entry__ as driver
+
+    for name in [m for m in sys.modules if m.startswith(("ledgerlens.llm", "corpus_pipeline"))]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, missing, None)
+    assert driver.queries().items() >= QUERIES.items() and "pipeline" not in driver.queries()
+    assert driver.oracle_sql().items() >= ORACLES.items()
