@@ -29,8 +29,45 @@ from .token_counts import byte_characters
 KEPT_WORDS = 250_000
 BATCH_BYTES = 2 << 20
 NO_RANK = np.iinfo(np.int64).max
+# Letters and numbers of newer Unicode versions, which are neither to the tokenizers library (fixed values).
+NEWER = (
+    "\u0558\u058b-\u058c\u088f\u0c5c\u0cdc\u208f\u209d-\u209f\ua7ce-\ua7cf\ua7d2\ua7d4\ua7dd\ua7e2\ua7f1\uab6c-\uab6d\U000107bb-\U000107bf"
+    "\U00010940-\U00010959\U00010ec5-\U00010ec7\U00010ed9-\U00010eee\U00011b0a\U00011db0-\U00011ddb\U00011de0-\U00011de9\U00011df1"
+    "\U0001246f\U00012475-\U0001247f\U00012550-\U00012686\U00016ea0-\U00016eb8\U00016ebb-\U00016ed3\U00016ff2-\U00016ff6"
+    "\U000187f8-\U000187ff\U00018cd6-\U00018cda\U00018d09-\U00018d20\U00018d80-\U00018df2\U00018e00-\U00019191\U000191a0-\U000191d2"
+    "\U0001b123-\U0001b128\U0001b168\U0001d6a6\U0001df1f-\U0001df24\U0001df2b-\U0001df81\U0001df90-\U0001df96\U0001dfcd-\U0001dfff"
+    "\U0001e6c0-\U0001e6de\U0001e6e0-\U0001e6e2\U0001e6e4-\U0001e6e5\U0001e6e7-\U0001e6ed\U0001e6f0-\U0001e6f4\U0001e6fe-\U0001e6ff"
+    "\U0002b73a-\U0002b73f\U0002b81e\U0002cea2-\U0002cead\U000323b0-\U00033479\U0003d000-\U0003fc3f"
+)
+_NEWER = regex.compile(f"[{NEWER}]")
 # Pre-token pattern of the vocabulary (fixed value).
 _PIECE_OR_BORDER = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{WHITE_SPACE}\p{{L}}\p{{N}}]+|\n")
+# The same for texts with any of the newer ones.
+_PIECE_AMONG_NEWER = regex.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d|(?:(?![{NEWER}])\p{{L}})+|(?![{NEWER}])\p{{N}}|(?:[{NEWER}]|[^{WHITE_SPACE}\p{{L}}\p{{N}}])+|\n"
+)
+# Marks that the library's normal form takes for letters, as they are newer than its tables (fixed values).
+_LETTER_LIKE_MARKS = regex.compile(
+    "([\u07fd\u0898-\u089f\u08ca-\u08d3\u09fe\u0c3c\u0d3b-\u0d3c\u0eba\u1715\u1abf-\u1ace\u1df6-\u1dfa\ua82c\U00010d24-\U00010d27"
+    "\U00010eab-\U00010eac\U00010efd-\U00010eff\U00010f46-\U00010f50\U00010f82-\U00010f85\U00011070\U0001133b\U0001145e"
+    "\U00011839-\U0001183a\U0001193d-\U0001193e\U00011943\U000119e0\U00011a34\U00011a47\U00011a99\U00011d42\U00011d44-\U00011d45"
+    "\U00011d97\U00011f41-\U00011f42\U00016ff0-\U00016ff1\U0001e08f\U0001e130-\U0001e136\U0001e2ae\U0001e2ec-\U0001e2ef\U0001e4ec-\U0001e4ef]+)"
+)
+# Lower case of letters that Python may not know yet (fixed values). Capital sigma is lowered by itself, whatever stands next to it.
+_LOWER = str.maketrans({
+    "Σ": "σ", "\u1c89": "\u1c8a", "\ua7cb": "\u0264", "\ua7cc": "\ua7cd", "\ua7ce": "\ua7cf", "\ua7d2": "\ua7d3", "\ua7d4": "\ua7d5",
+    "\ua7da": "\ua7db", "\ua7dc": "\u019b",
+    **{chr(c): chr(c + 0x20) for c in range(0x10D50, 0x10D66)}, **{chr(c): chr(c + 0x1B) for c in range(0x16EA0, 0x16EB9)},
+})
+
+
+def normal_form(text: str) -> str:
+    """Composed and lowered, as the vocabulary's normalizer does it."""
+    if text.isascii():
+        return text.lower()
+    # What stands on either side of a letter that nothing composes with does so by itself.
+    composed = "".join(unicodedata.normalize("NFC", part) for part in _LETTER_LIKE_MARKS.split(text))
+    return composed.translate(_LOWER).lower()
 
 
 class MergeTable:
@@ -115,9 +152,9 @@ class WordBpe:
     def _learn(self, words: list[str]) -> None:
         if not words:
             return
-        # Capital sigma is lowered by itself, whatever stands next to it.
-        lowered = unicodedata.normalize("NFC", "\n".join(words)).replace("Σ", "σ").lower()
-        pieces = [p.encode() for p in _PIECE_OR_BORDER.findall(lowered)]
+        lowered = normal_form("\n".join(words))
+        pattern = _PIECE_AMONG_NEWER if not lowered.isascii() and _NEWER.search(lowered) else _PIECE_OR_BORDER
+        pieces = [p.encode() for p in pattern.findall(lowered)]
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         joined = np.frombuffer(b"".join(pieces), np.uint8)
         ends = np.cumsum(sizes) - 1
@@ -170,8 +207,8 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
     With ``decoded`` the ids are decoded again in the same pass, and that text is added. Special strings
     inside a text become their own ids. A null or empty text has no ids. Repeated rows are encoded each;
-    other columns of ``df`` are ignored. ``path`` names the file on the executors. Letters are those of
-    the Unicode version of the ``regex`` module, which may know newer ones than the vocabulary's library.
+    other columns of ``df`` are ignored. ``path`` names the file on the executors. A very long text is
+    encoded whole, in a batch of its own; an empty table gives no rows.
     """
 
     def rows(texts):

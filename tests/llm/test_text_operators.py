@@ -48,6 +48,17 @@ def test_merge_rounds_give_the_library_ids(text):
     assert bpe.word_bpe(WORD_BPE).decode(ids) == WORDS.decode(ids, skip_special_tokens=False)
 
 
+def test_every_code_point_is_encoded_as_by_the_library():
+    points = [chr(c) for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    texts = [f"Ax{c}{c}y1{c} Z{c}\u0301 a\u0316{c}\u0301 e{c}\u0334\u0301" for c in points]
+    for start in range(0, len(texts), 20_000):
+        part = texts[start : start + 20_000]
+        flat, counts = bpe.word_bpe(WORD_BPE).encode_batch(part)
+        own = np.split(flat, np.cumsum(counts)[:-1])
+        expected = WORDS.encode_batch(part, add_special_tokens=False)
+        assert [t for t, a, b in zip(part, own, expected, strict=True) if a.tolist() != b.ids] == []
+
+
 def test_token_counts(docs, empty):
     got = sorted(tuple(r) for r in token_counts.token_counts(docs, BYTE_BPE).collect())
     assert got == sorted((i, len((t or "").encode()), len(BYTES.encode(t or "", add_special_tokens=False).ids)) for i, t in TEXTS)
