@@ -93,6 +93,40 @@ def test_leaks_are_found_wherever_the_edits_lie(n_words):
             assert len(held) == 1 and held[0][1] == edit_distance(own, text_words) <= k
 
 
+@pytest.mark.parametrize("opening", [6, 12])
+def test_items_with_one_opening_meet_few_places(opening, monkeypatch):
+    random = np.random.default_rng(opening)
+    items = [(i, " ".join([f"o{x}" for x in range(opening)] + [f"w{x}" for x in random.integers(0, 30_000, 32)])) for i in range(2_000)]
+    index = decontamination.prepare(items)
+    documents = [[*["before"] * 9, *t.split(), *["after"] * 9] for _, t in items]
+    met = []
+    real = decontamination.candidates
+    monkeypatch.setattr(decontamination, "candidates", lambda *a: (met.append(len(p[0])) or p for p in real(*a)))
+    found = decontamination.leaks_of([[w.encode() for w in d] for d in documents], index)
+    assert [[f[:2] for f in own] for own in found] == [[(i, 0)] for i in range(2_000)]
+    assert sum(met) < 100 * len(items)
+
+
+def test_a_key_of_many_items_is_cut(monkeypatch):
+    monkeypatch.setattr(decontamination, "PIECE", 50)
+    items = [(i, " ".join([f"o{x}" for x in range(19)] + [f"w{i}"])) for i in range(60)]
+    index = decontamination.prepare([*items, (100, items[7][1])])
+    assert [100 in own for own in index.ids].count(True) == 1
+    found = decontamination.leaks_of([t.encode().split() for _, t in items], index)
+    assert all({(f[0], f[1]) for f in own} == {(j, int(j != i)) for j in range(60)} for i, own in enumerate(found))
+
+
+def test_leaks_of_repeated_rows_odd_names_and_very_long_texts(spark):
+    item = " ".join(f"w{x}" for x in range(20))
+    texts = [(1, item, 1, "a"), (1, item, 1, "a"), (2, "x " * 200_000 + item, 2, "b"), (3, None, 3, "c")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string, item_id int, edits string")
+    bench = spark.createDataFrame([(5, item, 0), (6, item.upper(), 0), (5, item, 0)], "item_id bigint, text string, doc_id int")
+    got = sorted(tuple(r) for r in decontamination.leaks(docs, bench).collect())
+    places = [(1, 0, 20), (1, 0, 20), (2, 200_000, 200_020)]
+    assert got == sorted((d, i, 0, 1.0, a, b) for d, a, b in places for i in (5, 6))
+    assert [tuple(r) for r in decontamination.clean(docs, bench).collect()] == [texts[3]]
+
+
 def nearest(vectors, queries, n):
     rows = []
     for q, x in queries:
