@@ -14,7 +14,10 @@ Menus, headers of the page, footers, sidebars, dialogs, scripts and styles take
 element is suspected if it is a form or has a class, id or role that as a whole names a part that is not
 content; it is left out unless it holds most of the page's text and little running text and no article is elsewhere. A
 name that only has such a word in it is evidence: it lowers the score, and text there has to be running
-text. The elements html, body, main and article are never judged by their names.
+text. The elements html, body, main and article are never judged by their names. On a paragraph or heading a
+name that may as well tell of its style (``SOFT_NAMES``) only asks for a sentence. Inside an article a
+linked heading, a list of links that read like references, and an aside of one or two blocks without links or
+headings (a pull quote) are content.
 """
 
 from __future__ import annotations
@@ -57,6 +60,7 @@ NOT_CONTENT_NAMES = frozenset(
     " newsletter subscribe signup login search share sharing social related recommended widget comment comments commentlist reply"
     " replies disqus pager pagination skip toolbar copyright complementary contentinfo search".split()
 )
+SOFT_NAMES = frozenset("skip social reply header search".split())
 PUNCTUATION = re.compile(r"[.,;:!?…、。！？؟।]")
 WEIGHTS = (0.25, 0.5, 0.25)
 SPREAD = 0.5
@@ -65,6 +69,8 @@ RUNNING_CHARS = 40
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TEXT_TAGS = frozenset("p blockquote pre li dd".split())
 MOSTLY_LINKS = 0.6
+REFERENCE_CHARS = 12
+QUOTE_BLOCKS = 2
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>?|[^<]+|<", re.S)
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -78,6 +84,8 @@ class Page:
     def __init__(self, source: str):
         # For each path: the path above it, its tag, whether its tags can be content, whether its own element is suspected or has a telling name.
         self.parent, self.tag, self.content, self.suspected, self.named = [-1], [""], [True], [False], [False]
+        # Whether it is a text element with a soft name, is in an article, and is an aside there.
+        self.soft, self.in_article, self.aside = [False], [False], [False]
         self._known: dict[tuple[int, str], int] = {}
         self.blocks: list[tuple[int, str, int]] = []
         self._words: list[str] = []
@@ -93,14 +101,19 @@ class Page:
         if key not in self._known:
             path = self._known[key] = len(self.parent)
             judged = tag not in LANDMARKS
-            suspected = tag in FORMS or (judged and not NOT_CONTENT_NAMES.isdisjoint(tokens))
-            # The header of an article has its title.
-            barred = tag in NOT_CONTENT and not (tag == "header" and any(self.tag[p] == "article" for p in self._ancestors(above)))
+            telling = NOT_CONTENT_NAMES.intersection(names)
+            soft = bool(telling) and telling <= SOFT_NAMES and (tag in TEXT_TAGS or tag in HEADINGS)
+            suspected = tag in FORMS or (judged and not soft and not NOT_CONTENT_NAMES.isdisjoint(tokens))
+            # The header of an article has its title, an aside of it may be a quote.
+            barred = tag in NOT_CONTENT and not (tag in ("header", "aside") and self.in_article[above])
             self.parent.append(above)
             self.tag.append(tag)
             self.content.append(self.content[above] and not barred and not (suspected and tag in INLINE))
             self.suspected.append(suspected and tag not in INLINE)
-            self.named.append(judged and not NOT_CONTENT_NAMES.isdisjoint(names))
+            self.named.append(judged and not soft and bool(telling))
+            self.soft.append(soft)
+            self.in_article.append(self.in_article[above] or tag == "article")
+            self.aside.append(tag == "aside" and self.content[path])
         return self._known[key]
 
     def _flush(self) -> None:
@@ -191,6 +204,9 @@ class Page:
             self.nodes[path] += 1
         below = self._summed([c - k for c, k in zip(self.chars, self.links, strict=True)])
         most = [2 * b > below[0] for b in below]
+        # What a quote has none of, and how many blocks it is.
+        unlike_quote = self._summed([k if self.tag[p] not in HEADINGS else k + m for p, (k, m) in enumerate(zip(self.links, self.nodes, strict=True))])
+        n_blocks = self._summed(self.nodes)
         nearest, running = [0] * n, [0] * n
         for path in range(1, n):
             nearest[path] = path if self.suspected[path] else nearest[self.parent[path]]
@@ -202,7 +218,7 @@ class Page:
         out, self.hinted = [False] * n, [False] * n
         for path in range(1, n):
             above = self.parent[path]
-            out[path] = out[above]
+            out[path] = out[above] or (self.aside[path] and (unlike_quote[path] > 0 or n_blocks[path] > QUOTE_BLOCKS))
             if self.suspected[path] and not out[path]:
                 if most[path] and 4 * elsewhere <= below[path] and set(landmarks) <= set(self._ancestors(path)):
                     elsewhere += running[path]
@@ -262,6 +278,16 @@ class Page:
             return False
         return self.tag[path] in HEADINGS or (self.tag[path] in TEXT_TAGS and self.marks[path] >= self.nodes[path]) or self._running(path)
 
+    def _sentences(self, path: int) -> bool:
+        return self.tag[path] in HEADINGS or self.marks[path] >= self.nodes[path]
+
+    def _only_links(self, path: int) -> bool:
+        """Whether the path is a menu: links in the main, and no heading or list of references of an article."""
+        if self.links[path] <= MOSTLY_LINKS * self.chars[path] or self.tag[path] in HEADINGS:
+            return False
+        reference = self.marks[path] >= self.nodes[path] or self.chars[path] >= REFERENCE_CHARS * self.nodes[path]
+        return not (self.in_article[path] and reference)
+
     def scores(self) -> dict[int, float]:
         """Fused and smoothed ratio of each path, in the order in which the page has them."""
         order = list(dict.fromkeys(path for path, _, _ in self.blocks))
@@ -295,8 +321,8 @@ class Page:
             common = [p for p in common if p in other]
         container = common[0] if common else 0
         inside = self._widened(container)
-        kept = {p for p in fused if inside[p] and (not self.hinted[p] or p in chosen or self._running(p))}
-        return "\n".join(t for p, t, _ in self.blocks if p in kept and self.links[p] <= MOSTLY_LINKS * self.chars[p])
+        kept = {p for p in fused if inside[p] and (p in chosen or self._running(p) or not (self.hinted[p] or self.soft[p]) or (self.soft[p] and self._sentences(p)))}
+        return "\n".join(t for p, t, _ in self.blocks if p in kept and not self._only_links(p))
 
 
 def main_text(source: str | None) -> str:
@@ -306,8 +332,8 @@ def main_text(source: str | None) -> str:
 def extract(df: DataFrame, keep: Sequence[str] = ("page_id", "url"), html_col: str = "html") -> DataFrame:
     """The columns ``keep`` of every row, with the page's main ``text`` and its length ``n_chars`` in code points.
 
-    A null or empty page has an empty text, as has one without content. Repeated rows are extracted
-    each; columns not in ``keep`` are ignored.
+    A null or empty page has an empty text, as has one without content. A very long page is read whole.
+    Repeated rows are extracted each, an empty table gives no rows; columns not in ``keep`` are ignored.
     """
     schema = T.StructType([*[df.schema[c] for c in keep], T.StructField("text", T.StringType())])
     source = "_source"

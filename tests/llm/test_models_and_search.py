@@ -288,6 +288,45 @@ def test_titles_and_sections_beside_the_longest_text_are_kept(source, expected):
     assert html_text.main_text(source) == "\n".join(expected)
 
 
+LONG = ["The first paragraph runs on for a while, with commas, so that it is the text of this page.", "The second one does so as well, and it ends the article, as far as anyone can tell."]
+
+
+@pytest.mark.parametrize(
+    ("part", "kept"),
+    [
+        ('<h2><a href="/x">A linked headline</a></h2>', ["A linked headline"]),
+        ('<ul><li><a href="/1">Reference one</a></li><li><a href="/2">Reference two</a></li></ul>', ["Reference one", "Reference two"]),
+        ("<aside>A quote that is set apart, in large type.</aside>", ["A quote that is set apart, in large type."]),
+        ('<aside><h3>More</h3><ul><li><a href="/1">Another story</a></li></ul></aside>', []),
+        ('<aside class="sidebar"><p>Buy this now, it is cheap.</p></aside>', []),
+        ('<p class="skip">Hello there, reader.</p>', ["Hello there, reader."]),
+        ('<p class="skip">Skip to content</p>', []),
+        ('<p class="social-history">A short note.</p>', ["A short note."]),
+        ('<div class="social"><p>Share this, please.</p></div>', []),
+        ('<p class="advert">Buy this now, please.</p>', []),
+        ('<ul><li><a href="/1">Home</a></li><li><a href="/2">Contact</a></li></ul>', []),
+    ],
+)
+def test_parts_of_an_article(part, kept):
+    page = f"<body><article><p>{LONG[0]}</p>{part}<p>{LONG[1]}</p></article></body>"
+    assert html_text.main_text(page) == "\n".join([LONG[0], *kept, LONG[1]])
+
+
+def test_a_soft_name_outside_of_articles():
+    page = f'<div id="main"><p>{LONG[0]}</p><p class="reply">He gave a reply, they say.</p><p>{LONG[1]}</p></div>'
+    assert html_text.main_text(page) == "\n".join([LONG[0], "He gave a reply, they say.", LONG[1]])
+
+
+def test_pages_of_odd_tables(spark):
+    page = f"<article><p>{LONG[0]}</p></article>"
+    rows = [(1, "u", page, "x", 5), (1, "u", page, "x", 5), (2, None, None, None, None), (3, "v", "", "y", 1), (4, "w", f"<article>{f'<p>{LONG[0]}</p>' * 5_000}</article>", "z", 2)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string, n_chars int")
+    got = sorted((r.page_id, r.url or "", r.text, r.n_chars) for r in html_text.extract(pages).collect())
+    texts = [(1, "u", LONG[0]), (1, "u", LONG[0]), (2, "", ""), (3, "v", ""), (4, "w", "\n".join(LONG[:1] * 5_000))]
+    assert got == [(*t, len(t[2])) for t in texts]
+    assert html_text.extract(pages.filter("false")).collect() == []
+
+
 def test_formulas_are_text():
     assert html_text.main_text("<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math>, as said.</p>") == "So x=1, as said."
 
