@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import bpe, decontamination, html_text, minhash, multi_index, ppm, sharding, simhash, spelling, substring_dedup, token_counts, toxicity, whitening
 from .common import table
+from .oracles import ORACLES as ORACLES
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -71,4 +72,3 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: function for name, function in globals().items() if name.startswith("op") and callable(function)
 }
-ORACLES: dict[str, str] = {}
