@@ -11,8 +11,9 @@ a training word that is left out (secondary escape estimation).
 A word's code length does not depend on what stands around it, so the distinct words of the corpus are
 scored once. They are range-partitioned, so a partition holds one stretch of the sorted trie, whatever
 words begin alike; only the nodes above its first and last word reach into other partitions, and their
-counts are added up beforehand. Documents are dealt to blocks, a block looks up each of its words once,
-and neither texts nor occurrences of words are joined.
+counts are added up beforehand. Counts after the last bytes stay a table as well: a partition gets those of
+the contexts that its words may ask for after an escape, so none is left out whatever the corpus. Documents are
+dealt to blocks, a block looks up each of its words once, and neither texts nor occurrences of words are joined.
 
 On top of the pretrained trie a document adapts: after t words, a share ``ADAPT * t / (t + WARM_UP)`` of
 the probability goes to the words it has had so far, in proportion to how often.
@@ -38,7 +39,8 @@ WORDS_PER_PART = 150_000
 DEPTH = 24
 ADAPT, WARM_UP = 0.3, 20
 ORDER = 3
-RARE = 2.0**-20
+# Bytes of blocks' word lists that are answered in one task, in expectation.
+ANSWER_BYTES = 64 << 20
 # States of a context in escape estimation: its depth, binary length of its count and of its kinds.
 DEPTHS, COUNTS, KINDS = 16, 40, 9
 
@@ -99,8 +101,7 @@ def left_out(depth: int, total: np.ndarray, kinds: np.ndarray, own: np.ndarray)
 class Lower:
     """Contexts of the last ``ORDER`` bytes down to none, with what followed them and how often.
 
-    Above two bytes only sequences that make up at least a share ``RARE`` of all are kept, so each
-    order has at most 1 / RARE of them whatever the corpus; up to two bytes all are kept.
+    A context that is asked for must be there with all that followed it; others may be missing.
     """
 
     def __init__(self, orders: list[tuple[np.ndarray, np.ndarray]]):
@@ -270,9 +271,15 @@ def _word_counts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def escaping(words: list[bytes], counts: np.ndarray) -> list[bytes]:
+    """The words that may leave the trie: those that training lacks, and those that are longer than it is deep."""
+    return [w for w, n in zip(words, counts.tolist(), strict=True) if not n or len(w) >= DEPTH]
+
+
 # What one pass over the placed words finds, told apart by ``kind``: sequences of bytes, byte counts of
-# contexts that reach into other parts, and left-out visits by state of those that do not.
-SEQUENCE, OUTER, STATE = range(3)
+# contexts that reach into other parts, left-out visits by state of those that do not, and the ``ORDER``
+# bytes before each byte of words that may leave the trie.
+SEQUENCE, OUTER, STATE, ASKED = range(4)
 _SURVEY = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("number", pa.int64()), ("context", pa.binary()), ("byte", pa.int32()), ("n", pa.int64()), ("escapes", pa.int64())])
 
 
@@ -312,10 +319,12 @@ def _survey(group: pa.Table) -> pa.Table:
         inside = ~np.isin(child_run, edges)
         states.append(left_out(depth, total[child_run[inside]], kinds[child_run[inside]], below[inside]))
     state_, visits, escapes = _by_state(*(np.concatenate(c) for c in zip(*states, strict=True)))
+    asked = np.unique(sequences(escaping(words, counts))[0] >> 8)
     return pa.concat_tables([
         _found(part, SEQUENCE, sums[sums > 0], number=kept[sums > 0]),
         _found(part, OUTER, numbers, context=contexts, byte=following),
         _found(part, STATE, visits, number=state_, escapes=escapes),
+        _found(part, ASKED, np.ones(len(asked), np.int64), number=asked),
     ])
 
 
@@ -330,18 +339,31 @@ def _sorted(group: pa.Table) -> tuple[list[bytes], np.ndarray]:
     return [words[i] for i in order], counts[order]
 
 
-def _lower(survey: DataFrame) -> Lower:
+def _by_order(numbers: DataFrame, n_bytes: int) -> DataFrame:
+    """Each row once for each order, with ``last``: the order's last bytes of ``number`` and ``n_bytes`` more."""
+    orders = numbers.withColumn("order", F.explode(F.array(*map(F.lit, range(ORDER + 1)))))
+    return orders.withColumn("last", F.expr(f"number & (shiftleft(1L, 8 * (order + {n_bytes})) - 1)")).drop("number")
+
+
+def _lower(survey: DataFrame) -> DataFrame:
+    """``(part, order, last, n)``: for each part, how often each byte followed the contexts that its words may ask for.
+
+    ``last`` is ``context * 256 + byte``. A part asks for at most as many contexts as its words have bytes.
+    """
     whole = survey.filter(F.col("kind") == SEQUENCE).groupBy("number").agg(F.sum("n").alias("n"))
-    whole = materialize(whole, "sequences")
-    least = (whole.agg(F.sum("n")).first()[0] or 0) * RARE
-    orders = []
+    followed = _by_order(whole, 1).groupBy("order", "last").agg(F.sum("n").alias("n")).withColumn("context", F.shiftright("last", 8))
+    asked = _by_order(survey.filter(F.col("kind") == ASKED).select("part", "number"), 0).withColumnRenamed("last", "context").distinct()
+    return asked.join(followed, ["order", "context"]).select("part", "order", "last", "n")
+
+
+def _lower_of(orders: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> Lower:
+    """The rows of one part, in any order."""
+    made = []
     for order in range(ORDER + 1):
-        key = F.col("number").bitwiseAND(F.lit((1 << (8 * (order + 1))) - 1))
-        counts = whole.groupBy(key.alias("key")).agg(F.sum("n").alias("n"))
-        # At most 256 ** 3 rows up to two bytes of context, and 1 / RARE above.
-        rows = counts.filter(F.col("n") >= (least if order > 2 else 0)).orderBy("key").toArrow()
-        orders.append((rows.column("key").to_numpy(), rows.column("n").to_numpy()))
-    return Lower(orders)
+        own = np.flatnonzero(orders == order)
+        own = own[np.argsort(keys[own])]
+        made.append((keys[own], counts[own]))
+    return Lower(made)
 
 
 def _escapes(survey: DataFrame, totals: DataFrame) -> np.ndarray:
@@ -374,15 +396,19 @@ def word_scores(counts: DataFrame) -> DataFrame:
     survey = materialize(placed.groupBy("part").applyInArrow(_survey, schema), "survey")
     outer = survey.filter(F.col("kind") == OUTER)
     totals = outer.groupBy("context", "byte").agg(F.sum("n").alias("n"))
-    needed = outer.select("part", "context").distinct().join(totals, "context")
-    shipped = counts.sparkSession.sparkContext.broadcast((_escapes(survey, totals), _lower(survey)))
+    edges = outer.select("part", "context").distinct().join(totals, "context").select("part", F.lit(-1).alias("order"), "context", F.col("byte").cast("long").alias("last"), "n")
+    needed = edges.unionByName(_lower(survey), allowMissingColumns=True)
+    shipped = counts.sparkSession.sparkContext.broadcast(_escapes(survey, totals))
 
-    def score(group: pa.Table, edges: pa.Table) -> pa.Table:
+    def score(group: pa.Table, given: pa.Table) -> pa.Table:
+        orders = given.column("order").to_numpy()
+        edges, lower = given.filter(pa.array(orders < 0)), given.filter(pa.array(orders >= 0))
         known: dict[bytes, dict[int, int]] = {}
-        for context, byte, n in zip(*(edges.column(c).to_pylist() for c in ("context", "byte", "n")), strict=True):
+        for context, byte, n in zip(*(edges.column(c).to_pylist() for c in ("context", "last", "n")), strict=True):
             known.setdefault(context, {})[byte] = n
         words, own = _sorted(group) if group.num_rows else ([], np.empty(0, np.int64))
-        made = score_words(words, own, known, *shipped.value) if words else []
+        bytes_after = _lower_of(*(lower.column(c).to_numpy() for c in ("order", "last", "n")))
+        made = score_words(words, own, known, shipped.value, bytes_after) if words else []
         part = group.column("part").to_pylist()[:1] * len(words)
         return pa.table({"part": pa.array(part, pa.int32()), "word": pa.array(words, pa.binary()), "n": own, "log_p": pa.array(made, pa.float64())})
 
@@ -390,7 +416,7 @@ def word_scores(counts: DataFrame) -> DataFrame:
     return materialize(scored, "scored")
 
 
-_ASKED = "part int, block bigint, words binary"
+_ASKED = "part int, salt int, block bigint, words binary"
 _TOLD = "block bigint, part int, data binary"
 
 
@@ -401,19 +427,31 @@ def _block_words(texts: pa.Table) -> list[bytes]:
     return sorted(w + b" " for w in every)
 
 
-def _look_up(dealt: DataFrame, scored: DataFrame) -> DataFrame:
-    """For each block and part, count and score of the block's words there, in order."""
-    # The first word of each part: one for WORDS_PER_PART distinct words.
-    firsts = scored.groupBy("part").agg(F.min(F.concat("word", F.lit(b" "))).alias("first")).orderBy("part").collect()
-    shipped = dealt.sparkSession.sparkContext.broadcast([(bytes(r.first), r.part) for r in firsts])
+def _look_up(dealt: DataFrame, n_blocks: int, scored: DataFrame) -> DataFrame:
+    """For each block and part, count and score of the block's words there, in order.
+
+    Blocks that ask a part are dealt to as many tasks as their lists need, each with the part's words.
+    """
+    # A word is asked for by no more blocks than it occurs in; of rows held out the counts know nothing but one.
+    lists = F.sum(F.least(F.col("n") + 1, F.lit(n_blocks)) * (F.octet_length("word") + 1))
+    salts = F.ceil(lists / F.lit(ANSWER_BYTES)).cast("int").alias("salts")
+    plan = materialize(scored.groupBy("part").agg(F.min(F.concat("word", F.lit(b" "))).alias("first"), salts), "parts")
+    # One row for WORDS_PER_PART distinct words.
+    shipped = dealt.sparkSession.sparkContext.broadcast([(bytes(r["first"]), r["part"], r["salts"]) for r in plan.orderBy("part").collect()])
 
     def ask(texts: pa.Table) -> pa.Table:
         marked, block = _block_words(texts), texts.column("block")[0].as_py()
-        cuts = [bisect_left(marked, first) for first, _ in shipped.value[1:]]
-        rows = [(p, zlib.compress(b"".join(marked[a:b]), 1)) for (_, p), a, b in zip(shipped.value, [0, *cuts], [*cuts, len(marked)], strict=True) if a < b]
-        return pa.table({"part": pa.array([p for p, _ in rows], pa.int32()), "block": pa.array([block] * len(rows), pa.int64()), "words": pa.array([w for _, w in rows], pa.binary())})
+        cuts = [bisect_left(marked, first) for first, _, _ in shipped.value[1:]]
+        rows = [
+            (p, block % salts, block, zlib.compress(b"".join(marked[a:b]), 1))
+            for (_, p, salts), a, b in zip(shipped.value, [0, *cuts], [*cuts, len(marked)], strict=True)
+            if a < b
+        ]
+        return pa.table([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), asked_schema, strict=True)], schema=asked_schema)
 
     def tell(asked: pa.Table, held: pa.Table) -> pa.Table:
+        if not asked.num_rows:
+            return told_schema.empty_table()
         number = {w: i for i, w in enumerate(held.column("word").to_pylist())}
         n, log_p = held.column("n").to_numpy(), held.column("log_p").to_numpy()
         data = []
@@ -422,8 +460,11 @@ def _look_up(dealt: DataFrame, scored: DataFrame) -> DataFrame:
             data.append(zlib.compress(n[at].tobytes(), 1) + log_p[at].astype(np.float32).tobytes())
         return pa.table({"block": asked.column("block"), "part": asked.column("part"), "data": pa.array(data, pa.binary())})
 
+    told_schema = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("data", pa.binary())])
+    asked_schema = pa.schema([("part", pa.int32()), ("salt", pa.int32()), ("block", pa.int64()), ("words", pa.binary())])
     asked = dealt.groupBy("block").applyInArrow(ask, _ASKED)
-    return asked.groupBy("part").cogroup(scored.groupBy("part")).applyInArrow(tell, _TOLD)
+    held = scored.join(plan.select("part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")), "part")
+    return asked.groupBy("part", "salt").cogroup(held.groupBy("part", "salt")).applyInArrow(tell, _TOLD)
 
 
 def _told(found: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -444,10 +485,11 @@ def scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     add-one smoothed token counts, ``score`` the adaptive model's log10 probability. Repeated rows count
     and are scored each; a null id is not held out. Other columns are ignored.
     """
-    dealt = blocks(df, id_col, text_col)[0].withColumn("held_out", held_out(F.col("id")))
+    dealt, n_blocks = blocks(df, id_col, text_col)
+    dealt = dealt.withColumn("held_out", held_out(F.col("id")))
     counts = materialize(_word_counts(dealt.select("text", "held_out")), "words")
     n_train, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
-    known = _look_up(dealt, word_scores(counts))
+    known = _look_up(dealt, n_blocks, word_scores(counts))
     id_type = dealt.schema["id"]
     schema = T.StructType([
         id_type, T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),

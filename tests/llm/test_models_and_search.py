@@ -4,7 +4,7 @@ import html
 import math
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -176,12 +176,14 @@ def test_language_model_counts(docs, empty, monkeypatch, small):
     if small:  # many blocks and parts
         monkeypatch.setattr(common, "BLOCK_BYTES", 200)
         monkeypatch.setattr(ppm, "WORDS_PER_PART", 10)
+        monkeypatch.setattr(ppm, "ANSWER_BYTES", 40)
     counts = Counter()
     words = lambda t: [*(t or "").encode().lower().split(), b""]
     for i, t in TEXTS:
         if not out(i):
             counts.update(words(t))
     total, kinds = sum(counts.values()), len(counts)
+    model = word_model(counts, {w for _, t in TEXTS for w in words(t)})
     rows = ppm.scores(docs).collect()
     assert len(rows) == len(TEXTS)
     for r in rows:
@@ -189,10 +191,83 @@ def test_language_model_counts(docs, empty, monkeypatch, small):
         base = sum(math.log10((counts[w] + 1) / (total + kinds + 1)) for w in texts[0])
         assert (r.held_out, r.n_tokens, r.train_tokens) == (out(r.doc_id), len(texts[0]), total)
         assert r.n_known == sum(counts[w] > 0 for w in texts[0]) and r.base_score == pytest.approx(base)
-        assert r.score <= 0
+        had, score = Counter(), 0.0
+        for t, w in enumerate(texts[0]):
+            share = ppm.ADAPT * t / (t + ppm.WARM_UP)
+            score += math.log10((1 - share) * 10 ** model[w] + share * had[w] / max(t, 1))
+            had[w] += 1
+        assert r.score == pytest.approx(score, rel=1e-5)
     assert ppm.scores(empty).collect() == []
 
 
+def word_model(counts, words):
+    """Log10 probability of each word, by walking plain dictionaries one byte at a time."""
+    after, lower = defaultdict(Counter), defaultdict(Counter)
+    for w, n in counts.items():
+        marked = w + b" "
+        for d in range(min(len(marked), ppm.DEPTH) if n else 0):
+            after[marked[:d]][marked[d]] += n
+        for i, byte in enumerate(marked if n else b""):
+            read = b" " * ppm.ORDER + marked[:i]
+            for order in range(ppm.ORDER + 1):
+                lower[read[len(read) - order :]][byte] += n
+    state = lambda d, total, kinds: (min(d, ppm.DEPTHS - 1), total.bit_length(), kinds.bit_length())
+    seen, left = Counter(), Counter()
+    for context, own in after.items():
+        total = sum(own.values())
+        for n in own.values() if total > 1 else ():
+            at = state(len(context), total - 1, len(own) - (n == 1))
+            seen[at] += n
+            left[at] += n == 1
+
+    def escape(at):
+        total, kinds = 2 ** max(at[1] - 1, 0), 2 ** max(at[2] - 1, 0)
+        return min(max((left[at] + 2 * kinds / (total + kinds)) / (seen[at] + 2), 1e-6), 1 - 1e-6)
+
+    def shorter(read, byte, gone):
+        p, gone = 1.0, set(gone)
+        for order in range(ppm.ORDER, -1, -1):
+            own = {b: n for b, n in lower[read[len(read) - order :]].items() if b not in gone}
+            total = sum(own.values())
+            if byte in own:
+                return p * own[byte] / (total + len(own))
+            p *= len(own) / (total + len(own)) if own else 1
+            gone |= own.keys()
+        return p / (256 - len(gone))
+
+    scores = {}
+    for w in words:
+        marked, p, on_trie = w + b" ", 0.0, True
+        for i, byte in enumerate(marked):
+            own, read = after[marked[:i]] if on_trie and i < ppm.DEPTH else {}, b" " * ppm.ORDER + marked[:i]
+            if byte in own:
+                total = sum(own.values())
+                p += math.log10((1 - escape(state(i, total, len(own)))) * own[byte] / total)
+            else:
+                e = escape(state(i, sum(own.values()), len(own))) if own else 1
+                p += math.log10(e * shorter(read, byte, own))
+                on_trie = False
+        scores[w] = p
+    return scores
+
+
+def test_every_context_is_counted(spark):
+    """Against plain dictionaries, in many parts: rare contexts among very frequent words, words beyond the trie's depth."""
+    random = np.random.default_rng(11)
+    frequent = [bytes(random.integers(97, 103, 4).astype(np.uint8)) for _ in range(40)]
+    counts = {w: 5_000_000 for w in frequent} | {b"": 9, b"q\xc3\xa9z\xc3\xa9w": 1, b"x" * 40: 3, b"y" * 23: 2, b"z" * 24: 1}
+    asked = {bytes(random.integers(97, 123, n).astype(np.uint8)): 0 for n in random.integers(1, 30, 300)}
+    words = {**asked, b"vq\xc3\xa9z": 0, b"x" * 39: 0, b"x" * 30 + b"q": 0, b"z" * 25: 0, b"y" * 22: 0, **counts}
+    df = spark.createDataFrame([(bytearray(w), n) for w, n in words.items()], "word binary, n bigint")
+    expected = word_model(counts, words)
+    with pytest.MonkeyPatch.context() as patch:
+        for size in (1000, 50):
+            patch.setattr(ppm, "WORDS_PER_PART", size)
+            got = {bytes(r.word): r.log_p for r in ppm.word_scores(df).collect()}
+            assert got.keys() == expected.keys()
+            assert max(abs(got[w] - expected[w]) for w in got) < 1e-9
+
+
 def test_parts_do_not_change_the_model(spark, monkeypatch):
     counts = Counter()
     for (t,) in duckdb.sql(f"SELECT text FROM '{SF}/documents.parquet'").fetchall():
