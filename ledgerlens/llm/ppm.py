@@ -346,18 +346,23 @@ def _by_order(numbers: DataFrame, n_bytes: int) -> DataFrame:
 
 
 def _lower(survey: DataFrame) -> DataFrame:
-    """``(part, order, last, n)``: for each part, how often each byte followed the contexts that its words may ask for.
+    """``(part, order, followers)``: for each part, how often each byte followed the contexts that its words may ask for.
 
-    ``last`` is ``context * 256 + byte``. A part asks for at most as many contexts as its words have bytes.
+    A context is one row, with at most 256 followers as ``(context * 256 + byte, n)``. A part asks for at most as
+    many contexts as its words have bytes.
     """
     whole = survey.filter(F.col("kind") == SEQUENCE).groupBy("number").agg(F.sum("n").alias("n"))
-    followed = _by_order(whole, 1).groupBy("order", "last").agg(F.sum("n").alias("n")).withColumn("context", F.shiftright("last", 8))
+    counts = _by_order(whole, 1).groupBy("order", "last").agg(F.sum("n").alias("n"))
+    followed = counts.groupBy("order", F.shiftright("last", 8).alias("context")).agg(F.collect_list(F.struct("last", "n")).alias("followers"))
     asked = _by_order(survey.filter(F.col("kind") == ASKED).select("part", "number"), 0).withColumnRenamed("last", "context").distinct()
-    return asked.join(followed, ["order", "context"]).select("part", "order", "last", "n")
+    return asked.join(followed, ["order", "context"]).select("part", "order", "followers")
 
 
-def _lower_of(orders: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> Lower:
-    """The rows of one part, in any order."""
+def _lower_of(rows: pa.Table) -> Lower:
+    """The contexts of one part, in any order."""
+    lists = rows.column("followers").combine_chunks()
+    orders = np.repeat(rows.column("order").to_numpy(), lists.value_lengths().to_numpy())
+    keys, counts = (lists.flatten().field(name).to_numpy() for name in ("last", "n"))
     made = []
     for order in range(ORDER + 1):
         own = np.flatnonzero(orders == order)
@@ -407,8 +412,7 @@ def word_scores(counts: DataFrame) -> DataFrame:
         for context, byte, n in zip(*(edges.column(c).to_pylist() for c in ("context", "last", "n")), strict=True):
             known.setdefault(context, {})[byte] = n
         words, own = _sorted(group) if group.num_rows else ([], np.empty(0, np.int64))
-        bytes_after = _lower_of(*(lower.column(c).to_numpy() for c in ("order", "last", "n")))
-        made = score_words(words, own, known, shipped.value, bytes_after) if words else []
+        made = score_words(words, own, known, shipped.value, _lower_of(lower)) if words else []
         part = group.column("part").to_pylist()[:1] * len(words)
         return pa.table({"part": pa.array(part, pa.int32()), "word": pa.array(words, pa.binary()), "n": own, "log_p": pa.array(made, pa.float64())})
 
