@@ -41,19 +41,19 @@ def tree_nodes(model: PipelineModel, like: DataFrame) -> DataFrame:
 def walk(rows: DataFrame, nodes: DataFrame, depth: int, key: str) -> DataFrame:
     """``(key, tree, weight, prediction, votes)``: the leaf of every tree that each row of ``(key, x)`` ends in.
 
-    One join with the nodes per level. The node table is as large as the model and the planner knows its size, so
-    rows usually stay where they are.
+    One join with the nodes per level. The node table is as large as the model, and it is the side that is sent: the
+    planner sees neither how many trees a row is walked down nor how long its vector is, and would send the rows.
     """
     trees = nodes.filter("node = 0").agg(F.collect_set("tree").alias("trees")).scalar()
     walkers = rows.select(key, "x", trees.alias("trees")).select(key, "x", F.explode("trees").alias("tree"), F.lit(0).alias("at"))
-    steps = nodes.select("tree", F.col("node").alias("at"), "slot", "threshold", "categories", "low", "high")
+    steps = F.broadcast(nodes.select("tree", F.col("node").alias("at"), "slot", "threshold", "categories", "low", "high"))
     for _ in range(depth):
         met = walkers.join(steps, ["tree", "at"])
         value = F.get("x", "slot")
         goes_low = F.when(F.col("categories").isNotNull(), F.array_contains("categories", value)).otherwise(value <= F.col("threshold"))
         onward = F.when(F.col("slot").isNull(), F.col("at")).when(goes_low, F.col("low")).otherwise(F.col("high"))
         walkers = met.select(key, "x", "tree", onward.alias("at"))
-    leaves = nodes.select("tree", F.col("node").alias("at"), "weight", "prediction", "votes")
+    leaves = F.broadcast(nodes.select("tree", F.col("node").alias("at"), "weight", "prediction", "votes"))
     return walkers.select(key, "tree", "at").join(leaves, ["tree", "at"]).select(key, "tree", "weight", "prediction", "votes")
 
 

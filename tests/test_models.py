@@ -6,7 +6,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import features, metrics, models, segments
+from ledgerlens.operators import features, metrics, model_tables, models, segments
 from ledgerlens.plans import pipeline
 from ledgerlens.session import materialize, new_path
 from ledgerlens.sources import csv
@@ -153,3 +153,29 @@ def test_one_training_gives_all_outputs(gold, monkeypatch):
         assert sum(m["count"] for m in matrix if m[label] == m.prediction) == pytest.approx(r.accuracy * len(rows))
     assert set(trained.importances) == {"Random Forest", "GBT"}
     assert trained.importances["GBT"].agg({"importance": "sum"}).first()[0] == pytest.approx(1)
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    rows = spark.range(400).selectExpr(
+        "id AS c_custkey", "IF(id % 3 = 0, 'x', 'y') AS job", "CAST(id % 11 AS double) AS age",
+        "CAST(id % 11 > 5 AS double) AS label", "CAST((id % 11 > 5) = (id % 3 = 0) AS double) AS credit_label",
+    )
+    rows = materialize(rows, "rows")
+    return rows, {
+        "label": models.fit_classifier(models.random_forest(4, 3), rows, ["job"], ["age"]),
+        "credit_label": models.fit_classifier(models.boosted_trees(3, 3), rows, ["job"], ["age"]),
+    }
+
+
+PROBABILITIES = {"label": model_tables.forest_probabilities, "credit_label": model_tables.boosted_probabilities}
+
+
+@pytest.mark.parametrize("label", PROBABILITIES)
+def test_walking_sends_nodes_and_never_rows(fitted, label):
+    rows, found = fitted
+    walked = PROBABILITIES[label](found[label], rows, "c_custkey")
+    plan = walked._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BuildLeft" not in plan
+    scored = {r.c_custkey: r.probability_1 for r in models.score(found[label], rows, ["c_custkey"]).collect()}
+    assert {r.c_custkey: r.probability_1 for r in walked.collect()} == pytest.approx(scored)
