@@ -179,3 +179,12 @@ def test_walking_sends_nodes_and_never_rows(fitted, label):
     assert "SortMergeJoin" not in plan and "BuildLeft" not in plan
     scored = {r.c_custkey: r.probability_1 for r in models.score(found[label], rows, ["c_custkey"]).collect()}
     assert {r.c_custkey: r.probability_1 for r in walked.collect()} == pytest.approx(scored)
+
+
+def test_scores_meet_without_passing_the_driver(spark, fitted):
+    rows, found = fitted
+    again = model_tables.forest_probabilities(found["label"], rows, "c_custkey")
+    both = queries._same_probabilities(spark, found["label"], rows, again, "label")
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [c_custkey" in plan and "BuildLeft" not in plan
+    assert both.count() == 400 and both.filter("same").count() == 400
