@@ -81,9 +81,10 @@ def ingest_once(
         session = batch.sparkSession
         if folder_exists(session, table):
             stored = _stored(session, table, batch, fmt).select(FILE)
-            # Only the identities of this batch's files come out of the column scan.
-            arrived = batch.select(FILE).distinct()
-            seen = stored.join(arrived, FILE, "left_semi").distinct()
+            # Only the identities of this batch's files come out of the column scan. They are as many as the files
+            # the driver has listed and are sent to the rows: dealt by file, a file's rows would be one task's.
+            arrived = F.broadcast(batch.select(FILE).distinct())
+            seen = F.broadcast(stored.join(arrived, FILE, "left_semi").distinct())
             batch = batch.join(seen, FILE, "left_anti").select(*columns)
         batch.write.format(fmt).mode("append").save(table)
 

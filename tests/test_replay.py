@@ -10,6 +10,9 @@ from ledgerlens.session import new_path
 from ledgerlens.sources import csv, tables
 from ledgerlens.streaming import ingest
 
+from workload import queries
+
+from .conftest import SF_DIR
 from .test_streaming import FIRST, LATER, add_file, stored
 
 
@@ -77,6 +80,33 @@ def test_a_lost_checkpoint_loses_and_repeats_nothing(spark):
     assert ingest.ingest_once(spark, feed, table).count() == 3
 
 
+def test_the_rows_of_one_file_are_not_one_tasks(spark):
+    feed, table = new_path(spark, "feed"), new_path(spark, "table")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        add_file(spark, feed, FIRST)
+        ingest.ingest_once(spark, feed, table)
+        add_file(spark, feed, LATER * 1_000)
+        both = ingest.ingest_once(spark, feed, table, checkpoint=new_path(spark, "checkpoint"))
+        parts = both.groupBy("source_file").agg(F.count("*").alias("n"), F.count_distinct("_metadata.file_path").alias("files"))
+        n, files = max(tuple(r) for r in parts.select("n", "files").collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert n == 1_000 * len(LATER) and files > 8 and both.count() == n + len(FIRST)
+
+
+def test_feeds_are_written_by_many_tasks(spark, monkeypatch):
+    plans, write = [], csv.write_csv
+
+    def noted(df, path, sep=",", mode="overwrite"):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        write(df, path, sep, mode)
+
+    monkeypatch.setattr(csv, "write_csv", noted)
+    queries.QUERIES["stream_replay_lost_checkpoint"](spark, SF_DIR)
+    assert len(plans) == 2 and not any("Repartition" in p for p in plans)
+
+
 def test_a_fresh_checkpoint_over_another_ones_table_is_refused(spark):
     feed, table = new_path(spark, "feed"), new_path(spark, "table")
     add_file(spark, feed, FIRST)

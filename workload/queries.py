@@ -1180,12 +1180,12 @@ FROM retail
     ),
 )
 def stream_replay_lost_checkpoint(spark, d):
-    """Three drains with a checkpoint of their own each: one feed, then another file beside it, then nothing new."""
+    """Three drains with a checkpoint of their own each: one feed, then other files beside it, then nothing new."""
     feed, target, lines = new_path(spark, "feed"), new_path(spark, "stream"), retail_raw(spark, d)
     counts = []
     for part in (lines.filter("Country < 'H'"), lines.filter("Country >= 'H'"), None):
         if part is not None:
-            csv.write_csv(part.coalesce(1), feed, mode="append")
+            csv.write_csv(part, feed, mode="append")
         drained = ingest.ingest_once(spark, feed, target, checkpoint=new_path(spark, "checkpoint"))
         counts.append(materialize(quality.row_count(drained), "count"))
     first, second, third = (c.scalar() for c in counts)
