@@ -11,6 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import exact, features, quality, selection, sketches
+from workload import queries
+
+from .conftest import SF_DIR
 
 
 def test_sketches_merge_over_any_groups(spark):
@@ -153,3 +156,24 @@ def test_a_million_categories(spark):
     first = table.filter("position IN (0, 500000)").orderBy("position").collect()
     # Half of the labels occur twice; of equals the alphabetically first comes first.
     assert [r.label for r in first] == ["k0", "k500000"]
+
+
+def test_exact_windows_count_a_value_once(spark):
+    random.seed(5)
+    rows = [(random.choice("abcdef"), random.choice(["s", "t", None]), f"{random.randint(1, 12)}/7/{random.choice([2010, 2011])} 8:00") for _ in range(40)]
+    rows += [(None, "u", "1/5/2011 8:00"), ("z", "z", "rubbish"), ("a", "s", None)]
+    got = queries._exact_in_windows(spark.createDataFrame(rows, "InvoiceNo string, StockCode string, InvoiceDate string"), 3)
+    want = {}
+    for invoice, article, written in rows:
+        if written and "/" in written:
+            month = int(written.split("/")[2][:4]) * 12 + int(written.split("/")[0]) - 1
+            for m in range(month, month + 3):
+                for column, v in (("InvoiceNo", invoice), ("StockCode", article)):
+                    want.setdefault((f"{m // 12}-{m % 12 + 1:02d}", column), set()).add(v)
+    assert {(r.month, r.column): r.exact for r in got.collect()} == {k: len(v - {None}) for k, v in want.items()}
+
+
+def test_windows_multiply_values_not_lines(spark):
+    plan = queries.QUERIES["frequency_sketch_windows"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    # Below the exact counts lines are dealt evenly, and only what is distinct there reaches the windows.
+    assert "RebalancePartitions [InvoiceNo" in plan and "Window [lag(start" in plan and "count(distinct" not in plan

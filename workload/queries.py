@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import columns as C
@@ -546,6 +546,21 @@ def _exact_distinct(lines: DataFrame, by: list[str]) -> DataFrame:
     return long.groupBy(*by, "column").agg(F.count_distinct("v").alias("exact"))
 
 
+def _exact_in_windows(lines: DataFrame, months: int) -> DataFrame:
+    """``(month, column, exact)``; a value goes to the windows that its month before has not reached, so none has it twice.
+
+    Stored lines are small and a task would read very many, hence the even parts; each holds a value once a month.
+    """
+    start = F.trunc(C.invoice_ts(), "month").alias("start")
+    even = lines.select(start, "InvoiceNo", "StockCode").filter("start IS NOT NULL").hint("rebalance", "InvoiceNo")
+    seen = even.unpivot("start", ["InvoiceNo", "StockCode"], "column", "v").distinct()
+    before = F.lag("start").over(Window.partitionBy("column", "v").orderBy("start"))
+    reached = F.transform(F.sequence(F.lit(0), F.lit(months - 1)), lambda k: F.add_months("start", k))
+    first = F.filter(reached, lambda m: F.col("before").isNull() | (m >= F.add_months("before", months)))
+    counted = seen.withColumn("before", before).select("column", "v", F.explode(first).alias("start")).groupBy("start", "column").agg(F.count("v").alias("exact"))
+    return counted.select(sketches.month(F.col("start")).alias("month"), "column", "exact")
+
+
 def _within(errors: int = 4):
     return F.coalesce(F.abs(F.col("estimate") - F.col("exact")) <= errors * sketches.distinct_error() * F.col("exact"), F.lit(False)).alias("within")
 
@@ -573,9 +588,7 @@ def frequency_sketch_windows(spark, d):
     first, second = (materialize(sketches.customer_month_sketches(part), "sketches") for part in (lines.filter(~late), lines.filter(late)))
     stored = materialize(sketches.merged(first, second), "sketches")
     made = sketches.rolling(stored, 3)
-    start = F.trunc(C.invoice_ts(), "month")
-    windows = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda k: sketches.month(F.add_months(start, k)))
-    exact = _exact_distinct(lines.withColumn("month", F.explode(windows)), ["month"])
+    exact = _exact_in_windows(lines, 3)
     return made.join(exact, ["month", "column"], "left").select("month", "column", "exact", _within())
 
 
