@@ -14,7 +14,7 @@ from ..session import materialize, side_by_side
 from .positions import number_rows
 
 
-def customer_rollup(lines: DataFrame) -> DataFrame:
+def customer_rollup(lines: DataFrame, stored: bool = False) -> DataFrame:
     """Invoices, revenue, last purchase and first country of every retail customer.
 
     The first country is that of the earliest dated line, and the alphabetically first one if several
@@ -22,10 +22,15 @@ def customer_rollup(lines: DataFrame) -> DataFrame:
     text stays among the keys: lines are folded to invoice, country and date, invoices to customers by
     hash aggregates over numbers alone, and the earliest time is taken per customer and country. Only
     those few rows are then compared by name. Both branches start from the same folded rows.
+
+    They need different columns of them, so one lazy plan of both reads and joins the lines for each.
+    With ``stored`` the folded rows are written once and the lines are read once; this runs a job.
     """
     amount = F.sum(F.col("Quantity") * F.col("UnitPrice")).alias("revenue")
     folded = lines.groupBy("CustomerID", "InvoiceNo", "Country", "InvoiceDate").agg(amount)
     dated = folded.select("CustomerID", "InvoiceNo", "Country", "revenue", invoice_ts().alias("ts"))
+    if stored:
+        dated = materialize(dated, "invoices")
     invoices = dated.groupBy("CustomerID", "InvoiceNo").agg(F.sum("revenue").alias("revenue"), F.max("ts").alias("ts"))
     sums = invoices.groupBy("CustomerID").agg(
         F.count("InvoiceNo").alias("total_invoices"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import chain
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -88,9 +89,15 @@ def tune_logistic_regression(
 
     The feature steps are fitted once per fold, on that fold's training rows, and shared by all grid
     points; a cross-validator around the whole pipeline would fit them once per grid point as well.
+    Points that differ in the iteration limit alone take the same steps: if a fit ends by itself before
+    its limit, a larger limit gives that very model, so its figure holds for both. Else both are fitted.
     """
     lr = logistic_regression()
     grid = lr_grid(lr)
+    paths = {}
+    for i in sorted(range(len(grid)), key=lambda i: grid[i][lr.maxIter]):
+        paths.setdefault(grid[i][lr.regParam], []).append(i)
+    paths = list(paths.values())
     evaluator = exact_auc(LABEL)
     needed = [LABEL, *categorical, *numeric]
     rows = train.select(*dict.fromkeys(needed), fold_number(key, folds).alias("fold"))
@@ -102,12 +109,19 @@ def tune_logistic_regression(
             vectors = prepared.transform(rows).select(LABEL, "fold", VECTOR).persist(StorageLevel.MEMORY_AND_DISK)
             fitting, checking = vectors.filter(F.col("fold") != fold), vectors.filter(F.col("fold") == fold)
 
-            def auc(params, fitting=fitting, checking=checking):
-                return evaluator.evaluate(lr.fit(fitting, params).transform(checking))
+            def aucs(points, fitting=fitting, checking=checking):
+                found, ended = {}, False
+                for i in points:
+                    if not ended:
+                        model = lr.fit(fitting, grid[i])
+                        auc, ended = evaluator.evaluate(model.transform(checking)), model.summary.totalIterations < grid[i][lr.maxIter]
+                    found[i] = auc
+                return found
 
             try:
                 with ThreadPool(parallelism) as pool:
-                    totals = [t + a for t, a in zip(totals, pool.map(inheritable_thread_target(train.sparkSession)(auc), grid))]
+                    found = dict(chain.from_iterable(f.items() for f in pool.map(inheritable_thread_target(train.sparkSession)(aucs), paths)))
+                totals = [t + found[i] for i, t in enumerate(totals)]
             finally:
                 vectors.unpersist()
         best = max(range(len(grid)), key=lambda i: totals[i])

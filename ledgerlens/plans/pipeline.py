@@ -41,7 +41,7 @@ def build_bronze(store: Warehouse, retail: DataFrame, bank: DataFrame) -> None:
 def build_silver(store: Warehouse, key: Sequence[str] = ()) -> DataFrame:
     """Customer 360. The numbered rollup is stored as well: RFM and gold are read off it later."""
     bank = with_credit_default(store.load("bronze_bank"))
-    rollup = customer_rollup(store.load("bronze_retail"))
+    rollup = customer_rollup(store.load("bronze_retail"), stored=True)
     ranked, numbered = side_by_side(
         lambda: rank_in_group(bank, key=key),
         lambda: store.save("retail_rollup", number_customers(rollup)),

@@ -188,3 +188,26 @@ def test_scores_meet_without_passing_the_driver(spark, fitted):
     plan = both._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [c_custkey" in plan and "BuildLeft" not in plan
     assert both.count() == 400 and both.filter("same").count() == 400
+
+
+@pytest.mark.parametrize("limits, fits", [((50, 100), 2 * 2 + 1), ((1, 100), 4 * 2 + 1)])
+def test_a_fit_that_ended_by_itself_serves_the_larger_limits(spark, monkeypatch, limits, fits):
+    n = 240
+    data = [(i, float((i * 37 % 100) + (i % 3) * 9 > 70), i * 37 % 100 / 7, i * 11 % 13 * 1.0, "ab"[i % 2]) for i in range(n)]
+    rows = spark.createDataFrame(data, "k int, label double, x double, z double, c string")
+    grid = [{"regParam": r, "maxIter": m} for r in (0.01, 0.1) for m in limits]
+    monkeypatch.setattr(models, "lr_grid", lambda lr: [{getattr(lr, name): v for name, v in point.items()} for point in grid])
+    fitted = []
+    fit = models.LogisticRegression._fit
+    monkeypatch.setattr(models.LogisticRegression, "_fit", lambda self, df: fitted.append(self.getMaxIter()) or fit(self, df))
+    got = {(r.reg_param, r.max_iter): r.avg_auc for r in models.tune_logistic_regression(rows, ["c"], ["x", "z"], ["k"], folds=2).metrics.collect()}
+    assert len(fitted) == fits
+    # Every grid point by itself.
+    folds = rows.withColumn("fold", features.fold_number(["k"], 2))
+    for point in grid:
+        own = []
+        for fold in range(2):
+            fitting, checking = folds.filter(F.col("fold") != fold), folds.filter(F.col("fold") == fold)
+            model = models.fit_classifier(models.logistic_regression(point["maxIter"], point["regParam"]), fitting, ["c"], ["x", "z"])
+            own.append(models.exact_auc("label").evaluate(model.transform(checking)))
+        assert got[point["regParam"], point["maxIter"]] == pytest.approx(sum(own) / 2, abs=1e-9)

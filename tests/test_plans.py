@@ -47,6 +47,24 @@ def test_reference_date_is_a_scalar_subquery(spark):
     assert "Subquery" in text and "NestedLoop" not in text
 
 
+def test_rollup_folds_the_lines_once(spark, monkeypatch):
+    written = []
+    write = customers.materialize
+
+    def record(df, label):
+        written.append(plan(df))
+        return write(df, label)
+
+    monkeypatch.setattr(customers, "materialize", record)
+    data = [("A1", "1/2/2011 9:00", 2, 1.5, 1, "UK"), ("A1", "1/2/2011 9:00", 1, 1.0, 1, "UK"), ("A2", None, 1, 4.0, 1, "FR"), ("B1", "bad", 1, 1.0, None, None)]
+    lines = spark.createDataFrame(data, "InvoiceNo string, InvoiceDate string, Quantity int, UnitPrice double, CustomerID int, Country string")
+    rollup = customers.customer_rollup(materialize(lines, "lines"), stored=True)
+    assert len(written) == 1 and written[0].count("FileScan") == 1
+    assert "UnitPrice" not in plan(rollup) and "InvoiceDate" not in plan(rollup)
+    found = sorted((r.CustomerID or 0, r.total_invoices, r.total_revenue, r.country) for r in rollup.collect())
+    assert found == [(0, 1, 1.0, None), (1, 2, 8.0, "UK")]
+
+
 def test_share_of_total_uses_no_window(spark):
     text = plan(stats.group_shares(table(spark, SF_DIR, "customer"), "c_mktsegment"))
     assert "Window" not in text and "NestedLoop" not in text

@@ -66,7 +66,7 @@ def bank(spark: SparkSession, d: str, *only: str) -> DataFrame:
 
 
 def rollup(spark: SparkSession, d: str) -> DataFrame:
-    return materialize(customers.customer_rollup(sales(spark, d, "InvoiceDate", "Country")), "rollup")
+    return materialize(customers.customer_rollup(sales(spark, d, "InvoiceDate", "Country"), stored=True), "rollup")
 
 
 def rfm(spark: SparkSession, d: str) -> DataFrame:
@@ -74,13 +74,13 @@ def rfm(spark: SparkSession, d: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, d: str, *only: str) -> DataFrame:
-    sums = customers.customer_rollup(sales(spark, d, "InvoiceDate", "Country"))
+    sums = customers.customer_rollup(sales(spark, d, "InvoiceDate", "Country"), stored=True)
     return customers.customer_360(bank(spark, d, *(["job", *only] if only else [])), sums, KEY)
 
 
 def gold(spark: SparkSession, d: str) -> DataFrame:
     lines = sales(spark, d, "InvoiceDate", "Country")
-    return gold_plan.gold_in_one_go(bank(spark, d), customers.customer_rollup(lines), KEY)
+    return gold_plan.gold_in_one_go(bank(spark, d), customers.customer_rollup(lines, stored=True), KEY)
 
 
 def stored_gold(spark: SparkSession, d: str) -> DataFrame:
